@@ -129,6 +129,7 @@ DROP_FRAGMENTS = (
     "OFFER",
     "APPLICATIONSTAT",
     "ACCOUNTID",
+    "ACCOUNT_ID",
     "AUTOPAYAMOUNTTYPEID",
 )
 DROP_PREFIXES = ("IS",)

@@ -66,13 +66,18 @@ def price_segment(bucket: Column, entry: Column) -> Column:
     )
 
 
+def entered(perf: DataFrame, spec: EnrichSpec = EnrichSpec()) -> DataFrame:
+    """Performance rows of accounts entered in the window."""
+    return perf.filter(in_window(F.col("entry_date"), spec.start, spec.end, spec.closed))
+
+
 def enrich_performance(
     perf: DataFrame,
     apps: DataFrame,
     bureau: DataFrame,
     spec: EnrichSpec = EnrichSpec(),
     *,
-    hot: DataFrame | None = None,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Performance rows of accounts entered in the window, with application and bureau
     attributes, tags, flags, test arms and score band.
@@ -98,8 +103,7 @@ def enrich_performance(
         credit_band(F.col("vantage")).alias("__credit_band"),
     )
     facts = application.join(report, "report_id", "left").drop("report_id")
-    rows = perf.filter(in_window(F.col("entry_date"), spec.start, spec.end, spec.closed))
-    joined = lookup_join(rows, facts, "app_id", hot=hot)
+    joined = lookup_join(entered(perf, spec), facts, "app_id", hot=hot)
     tags = [f"{c}_tag" for c in spec.patterns]
     return joined.select(
         *perf.columns,
@@ -138,7 +142,7 @@ def max_mob_indicator(
     mob: str = "mob",
     status: str = "status",
     *,
-    hot: DataFrame | None = None,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """``df`` plus the account's largest MOB over qualifying rows and its label."""
     return lookup_join(df, max_mob(df, key, mob, status), key, hot=hot).withColumn(
@@ -274,29 +278,19 @@ def behaviour_panel(
     txn: DataFrame,
     *,
     only: str | None = "Revolver",
-    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Enriched performance rows with max-MOB label, monthly history, sales and rates.
+    """Enriched performance rows with monthly history, sales and rates.
 
     History (one scan instead of three) and sales (reduced to account-months first) join
-    on account and month end, which share one partitioning of the panel.
+    on account and month end, which share one partitioning of the panel.  The panel must
+    carry the max-MOB label already (see :func:`max_mob_indicator`).
     """
-    monthly = monthly_history(hist, only).select(
-        F.col("acct_id").alias("account_id"),
-        F.col("load_date").alias("period"),
-        *[c for c in monthly_history(hist, only).columns if c not in ("acct_id", "load_date")],
-    )
-    sales = net_sales(txn).select(
-        F.col("acct_id").alias("account_id"),
-        F.col("month_end").alias("period"),
-        "net_sales",
-        "net_merch_sales",
-        "net_cash_advance",
-    )
+    history = monthly_history(hist, only)
+    monthly = history.withColumnsRenamed({"acct_id": "account_id", "load_date": "period"})
+    sales = net_sales(txn).withColumnsRenamed({"acct_id": "account_id", "month_end": "period"})
     on = ["account_id", "period"]
     return (
-        max_mob_indicator(enriched, hot=hot)
-        .join(monthly, on, "left")
+        enriched.join(monthly, on, "left")
         .join(sales, on, "left")
         .select(
             "*",

@@ -16,12 +16,19 @@ def accounts_where(hist: DataFrame, key: str, cond: Column) -> DataFrame:
 
 
 def ever_flag(
-    base: DataFrame, hist: DataFrame, on: str, cond: Column, name: str, hist_key: str | None = None
+    base: DataFrame,
+    hist: DataFrame,
+    on: str,
+    cond: Column,
+    name: str,
+    hist_key: str | None = None,
+    *,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """``base`` plus a 0/1 column: did the key ever meet ``cond`` in ``hist``."""
     hit = accounts_where(hist, hist_key or on, cond)
     hit = hit.select(F.col(hist_key or on).alias(on), F.lit(1).alias(name))
-    joined = lookup_join(base, hit, on)
+    joined = lookup_join(base, hit, on, hot=hot)
     return joined.select(*base.columns, F.coalesce(F.col(name), F.lit(0)).alias(name))
 
 
@@ -152,21 +159,32 @@ def with_suffix_key(df: DataFrame, col: str, name: str, n: int = 16) -> DataFram
 
 
 def join_on_suffix(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, n: int = 16
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    n: int = 16,
+    *,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """``left`` left-joined to the rows whose key ends in its key."""
     keyed = with_suffix_key(right, right_key, left_key, n)
-    return lookup_join(left, keyed, left_key)
+    return lookup_join(left, keyed, left_key, hot=hot)
 
 
 def join_on_cast_key(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    *,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """``left`` (text key) left-joined to ``right`` (non-text key)."""
     keyed = right.withColumn(left_key, F.col(right_key).cast("string"))
     if right_key != left_key:
         keyed = keyed.drop(right_key)
-    return lookup_join(left, keyed, left_key)
+    return lookup_join(left, keyed, left_key, hot=hot)
 
 
 def acquisition_cost(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import codes
@@ -25,7 +27,7 @@ def profile(
     vantage: str = "vantage",
     score: str = "pscore",
     dedupe: bool = True,
-    hot: DataFrame | None = None,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """``base`` plus profile columns from its application and the second score table.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import codes
 
-PAIRS_PER_JOB = 300
+PAIRS_PER_JOB = 100
 EXACT_SKETCH_LIMIT = 200
 
 
@@ -199,8 +199,12 @@ def _name(i: int, j: int) -> str:
 def _pair_table(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
     exprs = []
     for i, j in pairs:
+        # corr() raises on a constant column in ANSI mode; both spreads are taken over
+        # rows where the other column is known too
         a, b = (_finite(df, cols[k]) for k in (i, j))
-        exprs.append(F.corr(a, b).alias(_name(i, j)))
+        a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+        spread = F.stddev_pop(a) * F.stddev_pop(b)
+        exprs.append(F.try_divide(F.covar_pop(a, b), spread).alias(_name(i, j)))
     long = _long(df.agg(*exprs), [_name(i, j) for i, j in pairs], "__pair", "corr")
     at = F.split("__pair", "_")
     return long.select(at[0].cast("int").alias("i"), at[1].cast("int").alias("j"), "corr")

@@ -1,9 +1,9 @@
 """Left joins that stay balanced when one key holds a large part of the left rows.
 
-Aggregations need no help: Spark combines on the map side, so a hot key sends
-one row per map task.  A left join does: all left rows of a key meet in one
-task.  AQE can split such a task only for the first join after a shuffle, so
-joins on an account key go through :func:`lookup_join`.
+Aggregations need no help: Spark combines on the map side, so a hot key sends one row per
+map task.  A left join does: all left rows of a key meet in one task.  AQE can split such
+a task for the first join after a shuffle only, so joins on an account or application key
+go through :func:`lookup_join`.
 """
 
 from __future__ import annotations
@@ -15,52 +15,47 @@ from pyspark.sql import DataFrame, functions as F
 HOT_SHARE = 0.01
 SALTS = 32
 
+# for tables that hold one row per key by construction
+NO_HOT_KEYS: tuple = ()
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Non-null keys that hold more than ``share`` of all rows: at most ``1/share`` of them."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> tuple:
+    """Known keys that hold more than ``share`` of all rows.
+
+    One aggregate over the key column, combined on the map side.  At most ``1 / share``
+    keys can qualify, so what is fetched is bounded whatever the size of the table.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     total = counts.agg(F.sum("__n").alias("__total")).scalar()
-    known = F.lit(True)
-    for c in on:
-        known = known & F.col(c).isNotNull()
-    return counts.filter(known & (F.col("__n") > total * F.lit(share))).select(*on)
+    hot = counts.filter(F.col(key).isNotNull() & (F.col("__n") > total * F.lit(share)))
+    return tuple(r[0] for r in hot.select(key).collect())
 
 
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
-    on: Sequence[str] | str,
+    on: str,
     *,
-    hot: DataFrame | None = None,
+    hot: Sequence | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """``left`` left-joined to ``right``; rows of hot keys are spread over ``salts`` tasks.
 
-    ``hot`` lists the hot keys (default: found by counting ``left``).  Its size is
-    bounded by the share that defines it, so it is broadcast.  Left rows of a hot key
-    get a salt from a hash of the whole row, which a rerun of a lost task repeats;
-    the matching right rows are copied once per salt.  Left rows with a NULL key match
-    nothing and are spread too.  All other rows keep salt 0.
+    ``hot`` lists the hot keys; by default they are found by counting ``left``.  Pass the
+    keys counted on the raw table where ``left`` is costly to compute, or
+    :data:`NO_HOT_KEYS` where it is unique by ``on``.  Without hot keys this is a plain
+    join.  With hot keys, their left rows get a salt from a hash of the whole row, which
+    a rerun of a lost task repeats, and the matching right rows are copied once per salt.
+    Left rows without a key match nothing and are spread too.
     """
-    on = [on] if isinstance(on, str) else list(on)
-    hot = hot_keys(left, on) if hot is None else hot
-    marked = F.broadcast(hot.select(*on).withColumn("__hot", F.lit(True)))
-    spread = F.col("__hot").isNotNull()
-    for c in on:
-        spread = spread | left[c].isNull()
-    salted_left = left.join(marked, on, "left").select(
-        *[left[c] for c in left.columns],
-        F.when(spread, F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(salts)))
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("__salt"),
-    )
-    salted_right = right.join(marked, on, "left").select(
-        *[right[c] for c in right.columns],
-        F.explode(
-            F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ).alias("__salt"),
-    )
-    return salted_left.join(salted_right, [*on, "__salt"], "left").drop("__salt")
+    hot = hot_keys(left, on) if hot is None else tuple(hot)
+    if not hot:
+        return left.join(right, on, "left")
+    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    spread = F.col(on).isin(*hot) | F.col(on).isNull()
+    salted = left.withColumn("__salt", F.when(spread, row_hash).otherwise(F.lit(0)))
+    copies = F.when(
+        F.col(on).isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    copied = right.withColumn("__salt", F.explode(copies))
+    return salted.join(copied, [on, "__salt"], "left").drop("__salt")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +13,8 @@ from ..operators.behaviour import (
     behaviour_aggregate,
     behaviour_panel,
     enrich_performance,
+    entered,
+    max_mob_indicator,
     model_extract,
 )
 from ..operators.lookups import disputed_accounts, with_suffix_key
@@ -28,7 +30,6 @@ from ..operators.rules import (
 )
 from ..operators.skew import hot_keys, lookup_join
 from ..operators.target import account_lookups, model_target, with_target_flags
-from ..sources.io import in_window
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,7 @@ def build_target(
     mislabeled: DataFrame,
     portfolio: DataFrame,
     spec: TargetSpec = TargetSpec(),
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Population with exclusion flags, monthly bad flags and the model target.
 
@@ -71,7 +73,7 @@ def build_target(
         check_unique=spec.check_unique,
     )
     # counted on the raw table: one column, and no second run of the de-duplication
-    joined = lookup_join(pop, lookups, key, hot=hot_keys(apps, [key]))
+    joined = lookup_join(pop, lookups, key, hot=hot_keys(apps, key) if hot is None else hot)
     rules = exclusion_rules(spec.rules)
     flagged = apply_rules(joined, rules)
     keep = [*pop.columns, *flag_names(rules), "global_exclusion"]
@@ -92,6 +94,7 @@ def build_balances(
     as_of: str = "as_of",
     balance: str = "balance",
     hi: int = 24,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Kept accounts with monthly balances, missing flags and the balance at the event."""
     return wide_panel(
@@ -106,6 +109,7 @@ def build_balances(
         missing=True,
         event=credit_event(),
         event_name="event_balance",
+        hot=hot,
     )
 
 
@@ -117,9 +121,10 @@ def build_profile(
     *,
     key: str = "account_id",
     hi: int = 24,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Balances with profile columns, monthly credit lines and the line at the event."""
-    profiled = profile(balances.drop("channels"), apps, scores, key=key)
+    profiled = profile(balances.drop("channels"), apps, scores, key=key, hot=hot)
     return wide_panel(
         profiled,
         perf,
@@ -132,6 +137,7 @@ def build_profile(
         hi=hi,
         event=credit_event(),
         event_name="event_credit_line",
+        hot=hot,
     )
 
 
@@ -143,15 +149,19 @@ def build_panel(
     txn: DataFrame,
     spec: EnrichSpec = EnrichSpec(),
     only: str | None = "Revolver",
+    hot_accounts: Sequence | None = None,
+    hot_apps: Sequence | None = None,
 ) -> DataFrame:
-    """Account-by-month behaviour panel."""
-    rows = perf.filter(in_window(F.col("entry_date"), spec.start, spec.end, spec.closed))
-    enriched = enrich_performance(
-        perf, apps, bureau, spec, hot=hot_keys(rows, ["app_id"])
-    )
-    return behaviour_panel(
-        enriched, hist, txn, only=only, hot=hot_keys(rows, ["account_id"])
-    )
+    """Account-by-month behaviour panel.
+
+    Pass :data:`NO_HOT_KEYS` where ``perf`` is known to hold one row per account and month.
+    """
+    rows = entered(perf, spec)
+    labelled = max_mob_indicator(rows, hot=hot_accounts)
+    if hot_apps is None:
+        hot_apps = hot_keys(rows, "app_id")
+    enriched = enrich_performance(labelled, apps, bureau, spec, hot=hot_apps)
+    return behaviour_panel(enriched, hist, txn, only=only)
 
 
 def build_behaviour(
@@ -163,9 +173,11 @@ def build_behaviour(
     spec: EnrichSpec = EnrichSpec(),
     keys: Mapping[str, Column] | None = None,
     measures: Mapping[str, Column] | None = None,
+    **hot: Sequence,
 ) -> DataFrame:
     """Behaviour panel summed over ``keys`` (default: all)."""
-    return behaviour_aggregate(build_panel(perf, apps, bureau, hist, txn, spec), keys, measures)
+    panel = build_panel(perf, apps, bureau, hist, txn, spec, **hot)
+    return behaviour_aggregate(panel, keys, measures)
 
 
 def build_extract(
@@ -175,6 +187,8 @@ def build_extract(
     hist: DataFrame,
     txn: DataFrame,
     spec: EnrichSpec,
+    **hot: Sequence,
 ) -> DataFrame:
     """Modelling rows: behaviour flags of every value, a few MOBs, all features."""
-    return model_extract(build_panel(perf, apps, bureau, hist, txn, spec, only=None), spec)
+    panel = build_panel(perf, apps, bureau, hist, txn, spec, only=None, **hot)
+    return model_extract(panel, spec)

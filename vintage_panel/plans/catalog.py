@@ -31,7 +31,8 @@ from ..operators.population import (
     population,
 )
 from ..operators.profile import profile
-from ..operators.target import COMPONENTS, base_with_flags
+from ..operators.skew import NO_HOT_KEYS, hot_keys
+from ..operators.target import COMPONENTS, account_lookups, base_with_flags
 from ..sources.adapters import Inputs
 from ..sources.io import date_window, materialize, read_table
 from . import builds
@@ -148,7 +149,7 @@ def _(t):
 def _(t):
     status, reason = codes.FRAUD_CHARGEOFF
     cond = (F.col("status") == status) & (F.col("reason") == reason)
-    return lk.ever_flag(t["acct"], t["snap"], "acct_id", cond, "ever_fraud")
+    return lk.ever_flag(t["acct"], t["snap"], "acct_id", cond, "ever_fraud", hot=NO_HOT_KEYS)
 
 
 @query(
@@ -224,7 +225,7 @@ left join master m on right(m.full_acct, 16) = a.acct_id""",
 )
 def _(t):
     base = t["acct"].select("acct_id", "book_vintage")
-    joined = lk.join_on_suffix(base, t["master"], "acct_id", "full_acct")
+    joined = lk.join_on_suffix(base, t["master"], "acct_id", "full_acct", hot=NO_HOT_KEYS)
     return rounded(joined.drop("full_acct"), 4, "balance")
 
 
@@ -289,18 +290,15 @@ def _(t):
 
 
 # ------------------------------------------------------------------ exclusions
-def _flagged(t) -> DataFrame:
-    """All applications with their exclusion flags and target."""
+def _flagged(t, spec=TARGET, hot=None) -> DataFrame:
+    """The population with its exclusion flags and target."""
     return builds.build_target(
-        t["funnel"], t["snap"], t["snap"], t["disputes"], t["mislabel"], t["portfolio"], TARGET
+        t["funnel"], t["snap"], t["snap"], t["disputes"], t["mislabel"], t["portfolio"], spec, hot
     )
 
 
-def _target_any(t) -> DataFrame:
-    return builds.build_target(
-        t["funnel"], t["snap"], t["snap"], t["disputes"], t["mislabel"], t["portfolio"],
-        TARGET_ANY,
-    )
+def _target_any(t, hot=None) -> DataFrame:
+    return _flagged(t, TARGET_ANY, hot)
 
 
 @query("exclusion_flags", f"select app_id, account_id, {', '.join(o.FLAGS)} from q_flags")
@@ -434,8 +432,6 @@ BASE_COLS = [*ID, "vintage_month", "open_date", "book_vintage", *BAD, *EVER, *FI
 
 @query("base_with_flags", f"select {_sel(BASE_COLS)} from q_target")
 def _(t):
-    from ..operators.target import account_lookups
-
     pop = population(t["funnel"], POP)
     rename = lambda df: df.withColumnRenamed("acct_id", "account_id")
     found = account_lookups(
@@ -445,7 +441,9 @@ def _(t):
         panel=pn.delinquency_panel(t["portfolio"], key="account_id"),
         shifts=rename(t["snap"]),
     )
-    return base_with_flags(pop, found, key="account_id").select(*BASE_COLS)
+    return base_with_flags(
+        pop, found, key="account_id", hot=hot_keys(t["funnel"], "account_id")
+    ).select(*BASE_COLS)
 
 
 @query("first_bad_mob", f"select {_sel(ID)}, first_bad_mob from q_target_any")
@@ -516,8 +514,9 @@ def _(t):
     return qc.flag_counts(_flagged(t), FLAG_NAMES)
 
 
-def _balances(t) -> DataFrame:
-    return builds.build_balances(_target_any(t), t["master"])
+def _balances(t, hot=None) -> DataFrame:
+    hot = hot_keys(t["funnel"], "account_id") if hot is None else hot
+    return builds.build_balances(_target_any(t, hot), t["master"], hot=hot)
 
 
 @query(
@@ -599,7 +598,7 @@ def _balance_panel(t) -> DataFrame:
     return pn.wide_panel(
         _acct_events(t), t["snap_me"], key="acct_id", start="book_vintage", as_of="as_of",
         value="balance", prefix="balance_t", missing=True, event=builds.credit_event(),
-        event_name="event_balance",
+        event_name="event_balance", hot=NO_HOT_KEYS,
     )
 
 
@@ -607,7 +606,7 @@ def _line_panel(t) -> DataFrame:
     return pn.wide_panel(
         _acct_events(t), t["perf"], key="acct_id", snap_key="account_id", start="book_vintage",
         as_of="period", value="credit_line", prefix="credit_line_t",
-        event=builds.credit_event(), event_name="event_credit_line",
+        event=builds.credit_event(), event_name="event_credit_line", hot=NO_HOT_KEYS,
     )
 
 
@@ -655,7 +654,8 @@ from acct a left join (select * from funnel where account_id is not null
   on a.acct_id = f.account_id left join scores s on f.ext_id = s.ext_id""",
 )
 def _(t):
-    profiled = profile(t["acct"].select("acct_id"), t["funnel"], t["scores"], key="acct_id")
+    profiled = profile(t["acct"].select("acct_id"), t["funnel"], t["scores"], key="acct_id",
+                       hot=NO_HOT_KEYS)
     return rounded(profiled, 4, "final_score")
 
 
@@ -671,7 +671,10 @@ BUILD_SQL = o.wide_sql(
   {_sel(LINES)}, event_credit_line from ({BUILD_SQL})""",
 )
 def _(t):
-    full = builds.build_profile(_balances(t), t["funnel"], t["scores"], t["perf"])
+    hot = hot_keys(t["funnel"], "account_id")
+    full = builds.build_profile(
+        _balances(t, hot), t["funnel"], t["scores"], t["perf"], hot=hot
+    )
     kept = full.select(*ID, *BAL, "event_balance", *LINES, "event_credit_line")
     return rounded(kept, 4, *BAL, "event_balance")
 
@@ -805,8 +808,14 @@ def _(t):
     )
 
 
+# the performance view is grouped to one row per account and month, so no key can be hot
+MONTHLY = {"hot_accounts": NO_HOT_KEYS, "hot_apps": NO_HOT_KEYS}
+
+
 def _panel(t) -> DataFrame:
-    return builds.build_panel(t["perf"], t["funnel"], t["bureau"], t["util"], t["txn"], SPEC)
+    return builds.build_panel(
+        t["perf"], t["funnel"], t["bureau"], t["util"], t["txn"], SPEC, **MONTHLY
+    )
 
 
 PANEL_KEYS = ["account_id", "period", "mob", "status", "max_mob", "mob_indicator",
@@ -831,7 +840,7 @@ FLOATS = [*o.SUMS_WHERE_SQL, *o.SUMS_SQL]
 
 @query("behaviour_aggregate", o.aggregate_sql(list(o.KEYS_SQL)))
 def _(t):
-    return rounded(beh.behaviour_aggregate(_panel(t)), 6, *FLOATS)
+    return rounded(beh.behaviour_aggregate(_panel(t)), 8, *FLOATS)
 
 
 @query(
@@ -860,7 +869,7 @@ where mob in (3, 6, 11, 15, 23) and year(entry_date) >= 2023""",
 )
 def _(t):
     return builds.build_extract(
-        t["perf"], t["funnel"], t["bureau"], t["util"], t["txn"], SPEC_ALL
+        t["perf"], t["funnel"], t["bureau"], t["util"], t["txn"], SPEC_ALL, **MONTHLY
     )
 
 
@@ -1175,15 +1184,15 @@ def _(t):
 
 
 # ------------------------------------------------------------------ segments
+MONEY = ["tot_rvl_dollar", "tot_nz_dollar"]
+RATE_COLS = ["unit_rate", "dollar_rate"]
+
+
 def _segments(t) -> DataFrame:
     panel_keys = beh.panel_keys(SPEC)
     keys = {k: panel_keys[k] for k in o.G_KEYS}
     agg = beh.behaviour_aggregate(_panel(t), keys, order_by=())
-    return seg.segment_base(rounded(agg, 6, *FLOATS), G_VARS)
-
-
-MONEY = ["tot_rvl_dollar", "tot_nz_dollar"]
-RATE_COLS = ["unit_rate", "dollar_rate"]
+    return seg.segment_base(rounded(agg, 2, *MONEY), G_VARS)
 
 
 def _rates(t) -> DataFrame:

@@ -41,9 +41,14 @@ def _pattern(slots: int, width: int) -> str:
 _V = "cast(floor(o_totalprice) as bigint)"
 
 VIEWS: dict[str, str] = {
+    # first application and open date of each account
+    "opened": f"""
+select o_custkey k, {_account('o_custkey')} acct_id, min(o_orderkey) app_id,
+  {_day('min(o_orderdate)')} open_date
+from {{orders}} group by o_custkey""",
     # one row per account
-    "acct": f"""
-select {_account('o.k')} acct_id, o.app_id, o.open_date, last_day(o.open_date) book_vintage,
+    "acct": """
+select o.acct_id, o.app_id, o.open_date, last_day(o.open_date) book_vintage,
   case c.c_mktsegment when 'BUILDING' then 'DIRECT_MAIL' when 'AUTOMOBILE' then 'CK_LIGHTBOX'
     when 'MACHINERY' then 'EXPERIAN_CRDT_MTCH' when 'HOUSEHOLD' then 'REFERRALS' else 'WEB'
     end channel,
@@ -52,9 +57,7 @@ select {_account('o.k')} acct_id, o.app_id, o.open_date, last_day(o.open_date) b
     then cast(floor(abs(c.c_acctbal) * 6e-2) as bigint) + 300 end score,
   cast(floor(abs(c.c_acctbal)) as bigint) % 100 + 1 random02,
   cast(c.c_nationkey as bigint) * 4 + 1 random03
-from (select o_custkey k, min(o_orderkey) app_id, {_day('min(o_orderdate)')} open_date
-      from {{orders}} group by o_custkey) o
-join {{customer}} c on c.c_custkey = o.k""",
+from {opened} o join {customer} c on c.c_custkey = o.k""",
     # one row per application; several per external id
     "funnel": f"""
 select o_orderkey app_id, concat('E', cast(o_custkey as string)) ext_id,
@@ -113,7 +116,7 @@ select a.acct_id, o.o_orderkey snap_id, {_day('o.o_orderdate')} as_of, a.open_da
   case when o_orderpriority = '4-NOT SPECIFIED' and o_orderstatus = 'P' then -o_totalprice
     else o_totalprice end amount,
   case when o_orderstatus = 'O' then 1 else 0 end active
-from {{orders}} o join {{acct}} a on {_account('o.o_custkey')} = a.acct_id""",
+from {{orders}} o join {{opened}} a on o.o_custkey = a.k""",
     # month-end snapshots, unique per account and month
     "snap_me": """
 select acct_id, last_day(as_of) as_of, min(mob) mob, sum(amount) balance,
