@@ -69,9 +69,9 @@ select o_orderkey app_id, concat('E', cast(o_custkey as string)) ext_id,
     when 3 then 'M00003' when 4 then 'H00010' when 5 then 'F00010' when 6 then 'K00010'
     when 7 then 'K00020' when 8 then 'Z99999' end decline_code,
   case when o_orderstatus = 'O' and o_totalprice > 480000 then null
-    else 290 + {_V} % 580 end fico,
+    else 500 + {_V} % 361 end fico,
   case when o_orderstatus = 'F' and o_totalprice > 485000 then null
-    else 295 + {_V} % 571 end vantage,
+    else 510 + {_V} % 349 end vantage,
   case when o_totalprice > 490000 then null else lpad(cast({_V} % 31 as string), 3, '0') end open_trades,
   case when o_totalprice < 4000 then null else lpad(cast({_V} % 53 as string), 3, '0') end total_trades,
   case when o_totalprice > 491000 then null else cast(5 + {_V} % 201 as string) end oldest_trade_months,
@@ -109,7 +109,8 @@ select a.acct_id, o.o_orderkey snap_id, {_day('o.o_orderdate')} as_of, a.open_da
     when o_orderstatus = 'O' and o_orderpriority = '5-LOW' then '46'
     when o_orderstatus = 'P' and o_orderpriority = '1-URGENT' then '36'
     when o_orderstatus = 'P' and o_orderpriority = '3-MEDIUM' then '39'
-    when o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED' then '40'
+    when o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED' and o_totalprice > 400000
+      then '40'
     else '00' end reason,
   case when o_orderpriority = '4-NOT SPECIFIED' then null else o_totalprice end merchant,
   case when o_orderstatus = 'O' then null else o_totalprice / 4 end cash,
