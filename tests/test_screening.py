@@ -67,11 +67,11 @@ def numbers(spark):
     return df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in pdf.columns]), pdf
 
 
-@pytest.mark.parametrize("per_job", [100, 0])
-def test_correlation_matches_pandas(numbers, per_job):
+@pytest.mark.parametrize("few", [100, 0])
+def test_correlation_matches_pandas(numbers, few):
     df, pdf = numbers
     expected = pdf.corr()
-    rows = scr.correlation_pairs(df, pairs_per_job=per_job).collect()
+    rows = scr.correlation_pairs(df, few=few).collect()
     assert len(rows) == 15
     for r in rows:
         want = expected.loc[r.left, r.right]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import codes
 
-PAIRS_PER_JOB = 100
+FEW_PAIRS = 10
 EXACT_SKETCH_LIMIT = 200
 
 
@@ -269,18 +269,18 @@ def _matrix_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_pairs(
-    df: DataFrame, cols: Sequence[str] | None = None, pairs_per_job: int = PAIRS_PER_JOB
+    df: DataFrame, cols: Sequence[str] | None = None, few: int = FEW_PAIRS
 ) -> DataFrame:
     """Pearson correlation of every pair of numeric columns over rows where both are known.
 
-    Few pairs are one aggregate.  Many pairs would need several scans, or one too wide to
-    compile, so they are computed from per-partition matrix products in two scans.
+    Few pairs are one aggregate.  More pairs would make it too wide to compile, so they are
+    computed from per-partition matrix products, in two scans whatever their number.
     """
     cols = numeric_columns(df) if cols is None else list(cols)
     pairs = list(combinations(range(len(cols)), 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "left string, right string, corr double")
-    if len(pairs) <= pairs_per_job:
+    if len(pairs) <= few:
         table = _pair_table(df, cols, pairs)
     else:
         table = _matrix_table(df, cols)

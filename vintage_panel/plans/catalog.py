@@ -998,9 +998,9 @@ def _(t):
     return rounded(scr.correlation_pairs(_corr_input(t)), 8, "corr")
 
 
-@query("correlation_pairs_blocked", CORR_SQL)
+@query("correlation_pairs_aggregate", CORR_SQL)
 def _(t):
-    return rounded(scr.correlation_pairs(_corr_input(t), pairs_per_job=0), 8, "corr")
+    return rounded(scr.correlation_pairs(_corr_input(t), few=100), 8, "corr")
 
 
 @query(
