@@ -90,9 +90,9 @@ def event_masks(
     )
 
 
-def flag_at(mask: Column, mob: int) -> Column:
-    """0/1 flag of one MOB in a bit mask."""
-    return F.getbit(mask, F.lit(mob)).cast("int")
+def flag_at(mask: str, mob: int) -> Column:
+    """0/1 flag of one MOB in a bit-mask column."""
+    return F.expr(f"cast(getbit({mask}, {mob}) as int)")
 
 
 def mob_pivot(
@@ -110,7 +110,7 @@ def mob_pivot(
     return masks.select(
         key,
         *[
-            flag_at(F.col(mask_name(n)), k).alias(f"{n}_mob{k}")
+            flag_at(mask_name(n), k).alias(f"{n}_mob{k}")
             for n in names
             for k in range(lo, hi + 1)
         ],
@@ -225,22 +225,16 @@ def month_series(
     )
 
 
-def value_after(series: Column, start: Column, months: Column | int) -> Column:
-    """Value ``months`` after the month of ``start``, NULL when absent."""
-    months = F.lit(months) if isinstance(months, int) else months
-    return F.try_element_at(series, month_index(start) + months)
-
-
 def value_at_event(
-    series: Column, start: Column, event: Column, default_k: int = 24
+    series: Column, start_month: Column, event: Column, default_k: int = 24
 ) -> Column:
     """Value at the event month if that is at most ``default_k``, else at ``default_k``.
 
     Missing values count as 0; an event month below 1 has no value.
     """
     zero = F.lit(0.0)
-    at_event = F.coalesce(value_after(series, start, event.cast("int")), zero)
-    at_end = F.coalesce(value_after(series, start, default_k), zero)
+    at_event = F.coalesce(F.try_element_at(series, start_month + event.cast("int")), zero)
+    at_end = F.coalesce(F.try_element_at(series, start_month + default_k), zero)
     return F.when(event <= default_k, F.when(event >= 1, at_event)).otherwise(at_end)
 
 
@@ -271,22 +265,14 @@ def wide_panel(
     if snap_key and snap_key != key:
         snaps = snaps.withColumnRenamed(snap_key, key)
     series = month_series(snaps, key, as_of, value, check_unique)
-    joined = lookup_join(base, series, key, hot=hot)
-    at = {k: value_after(F.col("__series"), F.col(start), k) for k in range(lo, hi + 1)}
-    extra = []
+    joined = lookup_join(base, series, key, hot=hot).withColumn(
+        "__start", month_index(F.col(start))
+    )
+    at = {k: f"try_element_at(__series, __start + {k})" for k in range(lo, hi + 1)}
+    cols = [F.expr(f"coalesce({v}, 0D) as `{prefix}{k}`") for k, v in at.items()]
     if missing:
-        extra += [
-            F.when(c.isNull(), 1).otherwise(0).alias(f"{prefix}{k}_missing")
-            for k, c in at.items()
-        ]
+        cols += [F.expr(f"int({v} is null) as `{prefix}{k}_missing`") for k, v in at.items()]
     if event is not None:
-        extra.append(
-            value_at_event(F.col("__series"), F.col(start), event, hi).alias(
-                event_name or f"{prefix}_at_event"
-            )
-        )
-    return joined.select(
-        *base.columns,
-        *[F.coalesce(c, F.lit(0.0)).alias(f"{prefix}{k}") for k, c in at.items()],
-        *extra,
-    )
+        found = value_at_event(F.col("__series"), F.col("__start"), event, hi)
+        cols.append(found.alias(event_name or f"{prefix}_at_event"))
+    return joined.select(*base.columns, *cols)

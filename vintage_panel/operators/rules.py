@@ -136,14 +136,13 @@ def apply_rules(
         for i, cond in enumerate(rules.values())
     ]
     masked = df.select("*", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("__mask"))
-    mask = F.col("__mask")
     return masked.select(
         *df.columns,
         *[
-            F.getbit(mask, F.lit(i)).cast("int").alias(prefix + name)
+            F.expr(f"cast(getbit(__mask, {i}) as int) as `{prefix}{name}`")
             for i, name in enumerate(rules)
         ],
-        *([F.when(mask != 0, 1).otherwise(0).alias(total)] if total else []),
+        *([F.when(F.col("__mask") != 0, 1).otherwise(0).alias(total)] if total else []),
     )
 
 

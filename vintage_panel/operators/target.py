@@ -161,7 +161,7 @@ def with_target_flags(
         *keep,
         "open_date",
         book_vintage(F.col("open_date")).alias("book_vintage"),
-        *[flag_at(F.col("__bad"), k).alias(f"bad_mob{k}") for k in range(1, hi + 1)],
+        *[flag_at("__bad", k).alias(f"bad_mob{k}") for k in range(1, hi + 1)],
         F.when(F.col("__bad") != 0, 1).otherwise(0).alias("model_target"),
         *EVER.values(),
         "dpd90_at_end",
