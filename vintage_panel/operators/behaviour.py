@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import codes
-from ..functions.dates import year_quarter
+from ..functions.dates import is_month_end, year_quarter
 from ..functions.scalars import (
     band,
     date_band_rate,
@@ -278,13 +278,20 @@ def behaviour_panel(
     txn: DataFrame,
     *,
     only: str | None = "Revolver",
+    month_end_periods: bool = True,
 ) -> DataFrame:
     """Enriched performance rows with monthly history, sales and rates.
 
     History (one scan instead of three) and sales (reduced to account-months first) join
     on account and month end, which share one partitioning of the panel.  The panel must
     carry the max-MOB label already (see :func:`max_mob_indicator`).
+
+    Periods of the performance table are month ends, so other days of the daily history
+    can match nothing and are left out before the shuffle; turn ``month_end_periods`` off
+    for tables with other periods.
     """
+    if month_end_periods:
+        hist = hist.filter(is_month_end(F.col("load_date")))
     history = monthly_history(hist, only)
     monthly = history.withColumnsRenamed({"acct_id": "account_id", "load_date": "period"})
     sales = net_sales(txn).withColumnsRenamed({"acct_id": "account_id", "month_end": "period"})
