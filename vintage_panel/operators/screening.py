@@ -438,7 +438,7 @@ def clean_features(df: DataFrame, spec: CleanSpec = CleanSpec()) -> tuple[DataFr
     Order: coerce numeric text, drop by name, by missing rate, by cardinality, non-numeric
     columns, by correlation.  Protected columns and the target survive every rule.  The
     schema depends on the data, so up to four aggregate jobs run here; the returned frame
-    itself is lazy.
+    itself is lazy.  Store a frame that is costly to compute first (``materialize``).
     """
     protected = [*spec.protected]
     if spec.target and spec.target not in protected:

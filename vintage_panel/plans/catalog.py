@@ -1063,7 +1063,8 @@ union all select 'high_correlation', upper(c) from s5 where c in (select b from
 
 @query("clean_features", _clean_sql())
 def _(t):
-    frame = t["feat"].select(*FEAT_ALL)
+    # several aggregate jobs read the frame, so its joins are stored once
+    frame = materialize(t["feat"].select(*FEAT_ALL))
     forced = scr.name_rules(frame.columns)
     spec = scr.CleanSpec(**{**CLEAN.__dict__, "force_drop": tuple(forced)})
     return scr.clean_features(frame, spec)[1]
