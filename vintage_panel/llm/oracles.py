@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS = r"[x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']"
 
 MIX = rf"""
 with rows as (
@@ -66,7 +66,7 @@ from norm window g as (partition by t)
 QUALITY = rf"""
 with base as (
   select doc_id, lang, source, coalesce(text, '') as t, {WORDS} as w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines
   from documents),
 windows as (
   select doc_id, p, w[p:p + 7] as win
@@ -86,7 +86,7 @@ stats as (
   from base b left join covered c using (doc_id)),
 grid as (
   select doc_id, lang, source, n_words > 0 as used, unnest(['symbols', 'dup_lines', 'repeats', 'capitals', 'word_length']) as metric,
-    unnest([100, 150, 150, 300, 4000]) as slack,
+    unnest([60, 300, 150, 300, 4000]) as slack,
     unnest([
       case when word_chars > 0 then n_symbols * 1000 // word_chars else 0 end,
       case when n_lines > 0 then n_dup_lines * 1000 // n_lines else 0 end,

@@ -17,7 +17,7 @@ WINDOW = 8
 # a statistic is out of line beyond its upper quartile plus this many quartile distances,
 # and by no less than the slack, both on the grid of thousandths
 REACH = 3
-SLACK = {"symbols": 100, "dup_lines": 150, "repeats": 150, "capitals": 300, "word_length": 4000}
+SLACK = {"symbols": 60, "dup_lines": 300, "repeats": 150, "capitals": 300, "word_length": 4000}
 
 
 def _repeat_words(n: str = "n", w: str = "w") -> str:
