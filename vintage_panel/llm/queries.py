@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .language_id import fit, language_id
+from .line_dedup import line_dedup
 from .mixing import mixed_sizes
+from .near_dedup import near_groups
 from .oracles import ORACLES
 from .quality import quality
 
@@ -23,10 +26,35 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_dedup(documents(spark, sf_dir))
+    return deduped.select(
+        "row.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir)).select(
+        "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = fit(docs.filter(~F.coalesce(held_out, F.lit(False))))
+    return language_id(docs, model).select(
+        "row.doc_id",
+        (F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 3 == 1).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix, op2_exact_dedup, op10_quality)
+    f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_line_dedup, op8_near_dedup, op9_language_id, op10_quality)
 }
