@@ -176,8 +176,7 @@ def language_id(
         for batch in texts:
             yield pd.DataFrame([identify(t, shared.value, known) for t in batch], columns=["lang_pred", "score"])
 
-    kind = F.PandasUDFType.SCALAR_ITER
-    predicted = F.pandas_udf(mapped, "lang_pred string, score double", kind)
+    predicted = F.pandas_udf(mapped, "lang_pred string, score double")
     return docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), predicted(F.col(text_col)).alias("found")
     ).select("row", "found.lang_pred", "found.score")

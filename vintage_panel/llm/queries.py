@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+
 from .common import documents
 from .exact_dedup import exact_dedup
 from .language_id import fit, language_id
@@ -15,6 +17,10 @@ from .near_dedup import near_groups
 from .oracles import ORACLES
 from .quality import quality
 
+from .sentencepiece_codec import decode, encode, read_model
+
+from .settings import PIECES
+
 __all__ = ["ORACLES", "QUERIES"]
 
 
@@ -33,6 +39,19 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = read_model(PIECES)
+    both = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), model), model)
+    # the space sign itself decodes to a space
+    text = F.translate(F.coalesce("row.text", F.lit("")), "\u2581", " ")
+    return both.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids",
+        (F.col("decoded") == text).alias("round_trip"),
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir)).select(
         "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")
@@ -55,6 +74,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix, op2_exact_dedup, op4_line_dedup, op8_near_dedup, op9_language_id, op10_quality)
+    f.__name__: f
+    for f in (
+        op1_mix,
+        op2_exact_dedup,
+        op4_line_dedup,
+        op5_sentencepiece,
+        op8_near_dedup,
+        op9_language_id,
+        op10_quality,
+        pipeline,
+    )
 }
