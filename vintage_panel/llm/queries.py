@@ -20,6 +20,7 @@ from .quality import quality
 from .sentencepiece_codec import decode, encode, read_model
 
 from .settings import PIECES
+from .suffix_dedup import suffix_dedup
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -52,6 +53,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir)).select(
         "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_exact_dedup,
         op4_line_dedup,
         op5_sentencepiece,
+        op7_suffix_dedup,
         op8_near_dedup,
         op9_language_id,
         op10_quality,
