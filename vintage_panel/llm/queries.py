@@ -11,10 +11,12 @@ import corpus_pipeline
 from .common import documents
 from .exact_dedup import exact_dedup
 from .language_id import fit, language_id
+from .licenses import fit_scan, scan_licenses
 from .line_dedup import line_dedup
 from .mixing import mixed_sizes
 from .near_dedup import near_groups
 from .oracles import ORACLES
+from .pii import find_pii
 from .quality import quality
 
 from .sentencepiece_codec import decode, encode, read_model
@@ -33,6 +35,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_dedup(documents(spark, sf_dir))
     return deduped.select(
@@ -53,6 +59,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scan_licenses(docs, *fit_scan(docs))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 
@@ -88,8 +99,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_mix,
         op2_exact_dedup,
+        op3_pii,
         op4_line_dedup,
         op5_sentencepiece,
+        op6_licenses,
         op7_suffix_dedup,
         op8_near_dedup,
         op9_language_id,
