@@ -9,12 +9,13 @@ from vintage_panel import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_spark(
         "local[4]",
         "vintage_panel_tests",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vintage_panel.operators import lookups as lk
-from vintage_panel.operators.skew import SALTS, hot_keys, lookup_join
+from vintage_panel.operators.skew import NO_HOT_KEYS, expanding_join, hot_keys, lookup_join
 
 
 def rows(df):
@@ -25,46 +25,62 @@ def skewed(spark):
     return left, right
 
 
-def test_hot_keys_are_found_and_bounded(spark, skewed):
+def test_hot_keys_follow_from_the_rows_per_task(spark, skewed):
     left, _ = skewed
-    assert hot_keys(left, "k") == ("hot",)
-    assert hot_keys(left, "k", share=0.5) == ()
-    assert hot_keys(left.limit(0), "k") == ()
+    assert rows(hot_keys(left, "k", 100)) == [("hot", 3)]
+    assert rows(hot_keys(left, "k", 299)) == [("hot", 2)]
+    assert rows(hot_keys(left, "k", 300)) == []
+    assert rows(hot_keys(left.limit(0), "k")) == []
 
 
 def test_salted_join_equals_plain_join(spark, skewed):
     left, right = skewed
-    assert rows(lookup_join(left, right, "k")) == rows(left.join(right, "k", "left"))
     # a right side with several rows per key multiplies as a plain join does
-    twice = right.union(right)
-    assert rows(lookup_join(left, twice, "k")) == rows(left.join(twice, "k", "left"))
+    for other in (right, right.union(right)):
+        for hot in (None, NO_HOT_KEYS, hot_keys(left, "k", 20)):
+            assert rows(lookup_join(left, other, "k", hot=hot)) == rows(left.join(other, "k", "left"))
+
+
+def test_numeric_keys_never_meet_a_stand_in(spark):
+    left = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 2**31, 2**22).union(spark.range(200)).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    assert rows(lookup_join(left, right, "k")) == rows(left.join(right, "k", "left"))
+
 
+def test_expanding_join_equals_plain_join(spark, skewed):
+    many, _ = skewed
+    few = many.select("k").distinct().union(spark.createDataFrame([("absent",), (None,)], "k string"))
+    few = few.withColumn("w", F.length("k"))
+    for per_task in (20, 10**6):
+        got = expanding_join(few, many, "k", hot=hot_keys(many, "k", per_task))
+        assert rows(got) == rows(few.join(many, "k", "left"))
 
-def test_salted_join_spreads_the_hot_key(spark, skewed):
+
+def test_hot_key_and_absent_keys_are_spread(spark, skewed):
     left, right = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    half = left.withColumn("k", F.when(F.col("v") % 2 == 0, F.col("k")))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        def largest(df):
+        def largest(df, keep):
             placed = df.withColumn("p", F.spark_partition_id())  # keeps the filter above the join
-            # counting a right column keeps the join itself
-            parts = placed.filter(F.col("k") == "hot").groupBy("p").agg(F.count("w").alias("n"))
+            parts = placed.filter(keep).groupBy("p").agg(F.count("v").alias("n"), F.count("w"))
             return max(r["n"] for r in parts.collect())
 
-        assert largest(left.join(right, "k", "left")) == 300
-        assert largest(lookup_join(left, right, "k", hot=["hot"])) < 100
+        hot = F.col("k") == "hot"
+        assert largest(left.join(right, "k", "left"), hot) == 300
+        assert largest(lookup_join(left, right, "k", hot=hot_keys(left, "k", 30)), hot) < 150
+        assert largest(half.join(right, "k", "left"), F.col("k").isNull()) > 400
+        assert largest(lookup_join(half, right, "k", hot=NO_HOT_KEYS), F.col("k").isNull()) < 60
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert SALTS > 1
-
-
-def test_no_hot_keys_means_a_plain_join(spark, skewed):
-    left, right = skewed
-    plan = lookup_join(left, right, "k", hot=())._jdf.queryExecution().optimizedPlan().toString()
-    assert "__salt" not in plan
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_ever_flag(spark):

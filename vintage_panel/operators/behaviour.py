@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import codes
-from ..functions.dates import is_month_end, year_quarter
+from ..functions.dates import year_quarter
 from ..functions.scalars import (
     band,
     date_band_rate,
@@ -77,7 +77,7 @@ def enrich_performance(
     bureau: DataFrame,
     spec: EnrichSpec = EnrichSpec(),
     *,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """Performance rows of accounts entered in the window, with application and bureau
     attributes, tags, flags, test arms and score band.
@@ -142,7 +142,7 @@ def max_mob_indicator(
     mob: str = "mob",
     status: str = "status",
     *,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """``df`` plus the account's largest MOB over qualifying rows and its label."""
     return lookup_join(df, max_mob(df, key, mob, status), key, hot=hot).withColumn(
@@ -278,7 +278,6 @@ def behaviour_panel(
     txn: DataFrame,
     *,
     only: str | None = "Revolver",
-    month_end_periods: bool = True,
 ) -> DataFrame:
     """Enriched performance rows with monthly history, sales and rates.
 
@@ -286,12 +285,8 @@ def behaviour_panel(
     on account and month end, which share one partitioning of the panel.  The panel must
     carry the max-MOB label already (see :func:`max_mob_indicator`).
 
-    Periods of the performance table are month ends, so other days of the daily history
-    can match nothing and are left out before the shuffle; turn ``month_end_periods`` off
-    for tables with other periods.
+    Periods are taken as they stand, month ends or not.
     """
-    if month_end_periods:
-        hist = hist.filter(is_month_end(F.col("load_date")))
     history = monthly_history(hist, only)
     monthly = history.withColumnsRenamed({"acct_id": "account_id", "load_date": "period"})
     sales = net_sales(txn).withColumnsRenamed({"acct_id": "account_id", "month_end": "period"})

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import codes
-from .skew import lookup_join
+from .skew import expanding_join, lookup_join
 
 
 def accounts_where(hist: DataFrame, key: str, cond: Column) -> DataFrame:
@@ -23,7 +23,7 @@ def ever_flag(
     name: str,
     hist_key: str | None = None,
     *,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """``base`` plus a 0/1 column: did the key ever meet ``cond`` in ``hist``."""
     hit = accounts_where(hist, hist_key or on, cond)
@@ -115,10 +115,16 @@ def latest_nonnull_rows(
     added = F.col(measures[0])
     for m in measures[1:]:
         added = added + F.col(m)
-    latest = latest_nonnull_date(df, key, date, measures, date)
-    return (
-        df.select(key, date, added.alias(total)).join(latest, [key, date]).distinct()
+    known = F.coalesce(*[F.col(m).cast("string") for m in measures]).isNotNull()
+    by_date = (
+        df.groupBy(key, date)
+        .agg(F.max(known).alias("__known"), F.collect_set(F.struct(added.alias("sum"))).alias("__sums"))
+        .filter(F.col("__known") & F.col(date).isNotNull())
     )
+    newest = by_date.groupBy(key).agg(F.max(F.struct(date, "__sums")).alias("__newest"))
+    return newest.select(
+        key, F.col(f"__newest.{date}").alias(date), F.explode("__newest.__sums").alias("__s")
+    ).select(key, date, F.col("__s.sum").alias(total))
 
 
 def fraud_applications(
@@ -165,11 +171,11 @@ def join_on_suffix(
     right_key: str,
     n: int = 16,
     *,
-    hot: Sequence | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``left`` left-joined to the rows whose key ends in its key."""
+    """``left`` left-joined to the rows whose key ends in its key, many per key."""
     keyed = with_suffix_key(right, right_key, left_key, n)
-    return lookup_join(left, keyed, left_key, hot=hot)
+    return expanding_join(left, keyed, left_key, hot=hot)
 
 
 def join_on_cast_key(
@@ -178,7 +184,7 @@ def join_on_cast_key(
     left_key: str,
     right_key: str,
     *,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """``left`` (text key) left-joined to ``right`` (non-text key)."""
     keyed = right.withColumn(left_key, F.col(right_key).cast("string"))

@@ -254,7 +254,7 @@ def wide_panel(
     event_name: str | None = None,
     snap_key: str | None = None,
     check_unique: bool = True,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """``base`` plus ``<prefix>k``: the value at the month end k months after ``start``.
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import codes
 from ..functions.scalars import band, map_labels, score_fallback
 from .population import latest_per_key
-from .skew import lookup_join
+from .skew import NO_HOT_KEYS, lookup_join
 
 
 def profile(
@@ -27,7 +26,7 @@ def profile(
     vantage: str = "vantage",
     score: str = "pscore",
     dedupe: bool = True,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """``base`` plus profile columns from its application and the second score table.
 
@@ -48,7 +47,7 @@ def profile(
     )
     second = scores.select(F.col(external_id).alias("__ext"), F.col("score").alias("__second"))
     # join the two small sides first: the base is then shuffled once
-    facts = facts.join(second, "__ext", "left")
+    facts = lookup_join(facts, second, "__ext", hot=NO_HOT_KEYS if dedupe else None)
     return lookup_join(base, facts, key, hot=hot).select(
         *base.columns,
         map_labels(

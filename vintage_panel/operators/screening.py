@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import codes
 
-FEW_PAIRS = 10
-EXACT_SKETCH_LIMIT = 200
+# tasks that sum up products of columns; each hands on one matrix, whatever the input's size
+MOMENT_TASKS = 2000
+# a variance below this share of the mean square is rounding noise of a constant
+NOISE = 1e-12
 
 
 def is_numeric(dtype: T.DataType) -> bool:
@@ -56,18 +57,19 @@ def _long(row: DataFrame, cols: Sequence[str], name: str, value: str) -> DataFra
 def numeric_shares(df: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Per string column: non-null values, how many parse as numbers, and the verdict."""
     cols = string_columns(df)
-    known = df.agg(*[F.count(_q(c)).alias(c) for c in cols])
-    parsed = df.agg(*[F.count(parse_number(_q(c))).alias(c) for c in cols])
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "column string, non_null bigint, parsed bigint, numeric boolean"
+        )
+    counts = [
+        F.struct(F.lit(c).alias("column"), F.count(_q(c)).alias("non_null"), F.count(parse_number(_q(c))).alias("parsed"))
+        for c in cols
+    ]
     share = F.try_divide(F.col("parsed"), F.col("non_null"))
     return (
-        _long(known, cols, "column", "non_null")
-        .join(_long(parsed, cols, "column", "parsed"), "column")
-        .select(
-            "column",
-            "non_null",
-            "parsed",
-            F.coalesce(share > threshold, F.lit(False)).alias("numeric"),
-        )
+        df.agg(F.array(*counts).alias("__counts"))
+        .select(F.inline("__counts"))
+        .withColumn("numeric", F.coalesce(share > threshold, F.lit(False)))
     )
 
 
@@ -155,13 +157,18 @@ def cardinalities(
     return _long(df.agg(*[count(_q(c)).alias(c) for c in cols]), cols, "column", "n_distinct")
 
 
-def _sketch_proves_more(estimate: int, limit: int) -> bool:
-    """Does a 512-register sketch estimate prove more than ``limit`` distinct values?
+def sketch_error(limit: int) -> float:
+    """Relative error that makes a sketch's estimate of over twice ``limit`` a proof.
 
-    Up to ``limit`` <= 200 values touch at most that many registers, so the estimate
-    (linear counting) cannot exceed 512 * ln(512 / (512 - limit)) < 2 * limit.
+    A sketch has about ``(1.106 / error) ** 2`` registers, rounded up to a power of two.  Up
+    to ``limit`` values touch as many registers at most; with 2.5 registers for each, linear
+    counting gives no more than ``2.5 * ln(2.5 / 1.5) < 1.3`` times the limit.
     """
-    return limit <= EXACT_SKETCH_LIMIT and estimate > 2 * limit
+    return min(0.05, 1.106 / (2.5 * max(limit, 1)) ** 0.5)
+
+
+def _sketch_proves_more(estimate: int, limit: int) -> bool:
+    return estimate > 2 * limit
 
 
 def _within(df: DataFrame, estimates: dict[str, int], limit: int) -> dict[str, int]:
@@ -181,7 +188,7 @@ def low_cardinality(df: DataFrame, cols: Sequence[str], limit: int = 50) -> dict
     """
     if not cols:
         return {}
-    row = df.agg(*[F.approx_count_distinct(_q(c), 0.05).alias(c) for c in cols]).first()
+    row = df.agg(*[F.approx_count_distinct(_q(c), sketch_error(limit)).alias(c) for c in cols]).first()
     return _within(df, {c: row[c] for c in cols}, limit)
 
 
@@ -192,24 +199,6 @@ def high_cardinality(df: DataFrame, limit: int = 50) -> list[str]:
 
 
 # ---------------------------------------------------------------- correlation
-def _name(i: int, j: int) -> str:
-    return f"{i}_{j}"
-
-
-def _pair_table(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    exprs = []
-    for i, j in pairs:
-        # corr() raises on a constant column in ANSI mode; both spreads are taken over
-        # rows where the other column is known too
-        a, b = (_finite(df, cols[k]) for k in (i, j))
-        a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-        spread = F.stddev_pop(a) * F.stddev_pop(b)
-        exprs.append(F.try_divide(F.covar_pop(a, b), spread).alias(_name(i, j)))
-    long = _long(df.agg(*exprs), [_name(i, j) for i, j in pairs], "__pair", "corr")
-    at = F.split("__pair", "_")
-    return long.select(at[0].cast("int").alias("i"), at[1].cast("int").alias("j"), "corr")
-
-
 def _finite(df: DataFrame, name: str) -> Column:
     c = _q(name).cast("double")
     return F.when(~F.isnan(c), c)
@@ -246,13 +235,13 @@ def _block_moments(p: int):
     return run
 
 
-def _matrix_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs in two passes: means, then centred cross products per partition."""
+def _pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All pairs in two passes: means, then centred cross products, one matrix a task."""
     means = df.agg(*[F.avg(_finite(df, c)).alias(c) for c in cols]).first()
     centred = df.select(
         *[(_finite(df, c) - F.lit(float(means[c] or 0.0))).alias(c) for c in cols]
     )
-    parts = centred.mapInArrow(_block_moments(len(cols)), _MOMENTS)
+    parts = centred.coalesce(MOMENT_TASKS).mapInArrow(_block_moments(len(cols)), _MOMENTS)
     names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     sums = (
         parts.select("i", F.posexplode(F.arrays_zip(*names)).alias("j", "m"))
@@ -264,32 +253,29 @@ def _matrix_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
     vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
     vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
-    r = F.try_divide(cov, F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vy, F.lit(0.0))))
-    return sums.select("i", "j", F.when(n > 1, r).alias("corr"))
+    # a constant column (where the other is known) has no correlation, only rounding noise
+    spread = (n > 1) & (vx > F.col("sxx") * NOISE) & (vy > F.col("syy") * NOISE)
+    return sums.select("i", "j", F.when(spread, F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy))).alias("corr"))
 
 
 def correlation_pairs(
-    df: DataFrame, cols: Sequence[str] | None = None, few: int = FEW_PAIRS
+    df: DataFrame, cols: Sequence[str] | None = None, above: float | None = None
 ) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns over rows where both are known.
+    """Pearson correlation of pairs of numeric columns over rows where both are known.
 
-    Few pairs are one aggregate.  More pairs would make it too wide to compile, so they are
-    computed from per-partition matrix products, in two scans whatever their number.
+    With ``above``, only the pairs whose correlation exceeds it in size.  Two scans whatever
+    the number of columns: matrix products inside tasks, summed over tasks.
     """
     cols = numeric_columns(df) if cols is None else list(cols)
-    pairs = list(combinations(range(len(cols)), 2))
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "left string, right string, corr double")
-    if len(pairs) <= few:
-        table = _pair_table(df, cols, pairs)
-    else:
-        table = _matrix_table(df, cols)
     names = F.array(*[F.lit(c) for c in cols])
-    return table.select(
+    pairs = _pair_moments(df, cols).select(
         F.get(names, F.col("i")).alias("left"),
         F.get(names, F.col("j")).alias("right"),
         F.when(~F.isnan("corr"), F.col("corr")).alias("corr"),
     )
+    return pairs if above is None else pairs.filter(F.abs("corr") > above)
 
 
 def correlated_columns(
@@ -299,7 +285,7 @@ def correlated_columns(
 
     Not greedy: a column that is itself marked still marks later ones.
     """
-    pairs = correlation_pairs(df, cols).filter(F.abs("corr") > threshold)
+    pairs = correlation_pairs(df, cols, threshold)
     marked = {r["right"] for r in pairs.select("right").distinct().collect()}
     return [c for c in cols if c in marked], pairs
 
@@ -316,50 +302,59 @@ def correlation_prune(
 
 
 # ---------------------------------------------------------------- target summary
-def _select_rank(df: DataFrame, rank: int, low: float, high: float, buckets: int) -> float:
-    """Value at a 0-based rank among finite values in [low, high], by narrowing histograms."""
+def _at_rank(values: DataFrame, rank: int, n: int, accuracy: int) -> float:
+    """Value at a 0-based rank of ``n`` values in ``x``.
+
+    A quantile sketch with a rank error of ``n / accuracy`` gives two values around the rank;
+    exact counts tell where the rank lies.  Either it is one of the two, or the values
+    strictly between go into the next pass: few parts in ``accuracy`` of them, whatever
+    their distribution, so a pass always narrows, infinities and extreme doubles included.
+    """
     x = F.col("x")
-    below = 0
-    while low < high:
-        width = (high - low) / buckets
-        if width > 0:
-            slot = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(buckets - 1))
+    while True:
+        slack = 2.0 / accuracy
+        at = (rank + 0.5) / n
+        ends = F.percentile_approx("x", [max(0.0, at - slack), min(1.0, at + slack)], accuracy)
+        low, high = values.agg(ends).first()[0]
+        c = values.agg(
+            F.count_if(x < low).alias("below"),
+            F.count_if(x == low).alias("low"),
+            F.count_if((x > low) & (x < high)).alias("inside"),
+            F.count_if((x == high) & (x > low)).alias("high"),
+        ).first()
+        if rank < c["below"]:  # the sketch was off by more than it promises: go on below
+            n, values = c["below"], values.filter(x < low)
+        elif rank < c["below"] + c["low"]:
+            return low
+        elif rank < c["below"] + c["low"] + c["inside"]:
+            rank -= c["below"] + c["low"]
+            n, values = c["inside"], values.filter((x > low) & (x < high))
+        elif rank < c["below"] + c["low"] + c["inside"] + c["high"]:
+            return high
         else:
-            slot = F.when(x > low, 1).otherwise(0)
-        hist = (
-            df.filter(x.between(low, high))
-            .groupBy(slot.alias("slot"))
-            .agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"))
-            .collect()
-        )
-        for h in sorted(hist, key=lambda r: r["lo"]):
-            if rank < below + h["n"]:
-                low, high = h["lo"], h["hi"]
-                break
-            below += h["n"]
-    return low
+            rank -= c["below"] + c["low"] + c["inside"] + c["high"]
+            n -= c["below"] + c["low"] + c["inside"] + c["high"]
+            values = values.filter(x > high)
 
 
-def exact_median(df: DataFrame, col: str, buckets: int = 4096) -> float | None:
-    """Median without gathering the values: each pass keeps the bucket that holds it.
+def exact_median(df: DataFrame, col: str, accuracy: int = 10_000) -> float | None:
+    """Median without gathering the values: passes over a sketch's neighbourhood.
 
     ``median``/``percentile`` would build one map of all distinct values in one task.
+    Infinities are ordinary values; NaN counts as missing.
     """
     values = df.select(_finite(df, col).alias("x")).filter(F.col("x").isNotNull())
-    s = values.agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    if not s["n"]:
+    n = values.count()
+    if not n:
         return None
-    rank = (s["n"] - 1) // 2
-    lower = _select_rank(values, rank, s["lo"], s["hi"], buckets)
-    if s["n"] % 2:
+    rank = (n - 1) // 2
+    lower = _at_rank(values, rank, n, accuracy)
+    if n % 2:
         return lower
     x = F.col("x")
-    t = values.agg(
-        F.sum(F.when(x <= lower, 1).otherwise(0)).alias("upto"),
-        F.min(F.when(x > lower, x)).alias("next"),
-    ).first()
+    t = values.agg(F.count_if(x <= lower).alias("upto"), F.min(F.when(x > lower, x)).alias("next")).first()
     upper = lower if t["upto"] > rank + 1 else t["next"]
-    return (lower + upper) / 2
+    return lower / 2 + upper / 2 if abs(lower) > 1e300 or abs(upper) > 1e300 else (lower + upper) / 2
 
 
 def target_summary(df: DataFrame, col: str, top: int = 10) -> DataFrame:
@@ -403,6 +398,10 @@ class CleanSpec:
     force_drop: tuple[str, ...] = ()
     numeric_share: float = 0.8
 
+    def kept(self) -> list[str]:
+        """Columns that survive every rule."""
+        return list(dict.fromkeys([*self.protected, *([self.target] if self.target else [])]))
+
 
 @dataclass(frozen=True)
 class _Stats:
@@ -415,7 +414,7 @@ class _Stats:
         return self.parsed is not None and self.known > 0 and self.parsed / self.known > threshold
 
 
-def _profile(df: DataFrame) -> dict[str, _Stats]:
+def _profile(df: DataFrame, limit: int = 50) -> dict[str, _Stats]:
     """Counts of known and parsed values and distinct-value sketches, in one job."""
     text = set(string_columns(df))
     exprs = [F.count(F.lit(1)).alias("rows")]
@@ -424,7 +423,7 @@ def _profile(df: DataFrame) -> dict[str, _Stats]:
         exprs.append(F.count(F.when(~is_missing(c, f.dataType), 1)).alias(f"known_{k}"))
         if f.name in text:
             exprs.append(F.count(parse_number(c)).alias(f"parsed_{k}"))
-            exprs.append(F.approx_count_distinct(c, 0.05).alias(f"sketch_{k}"))
+            exprs.append(F.approx_count_distinct(c, sketch_error(limit)).alias(f"sketch_{k}"))
     row = df.agg(*exprs).first().asDict()
     return {
         name: _Stats(row["rows"], row[f"known_{k}"], row.get(f"parsed_{k}"), row.get(f"sketch_{k}"))
@@ -432,48 +431,45 @@ def _profile(df: DataFrame) -> dict[str, _Stats]:
     }
 
 
+def _verdicts(df: DataFrame, spec: CleanSpec, stats: dict[str, _Stats], low: dict[str, int]) -> dict[str, str]:
+    """The first rule that drops each column, from its name, type and statistics alone."""
+    out: dict[str, str] = {}
+    for name, stat in stats.items():
+        number = stat.reads_as_number(spec.numeric_share)
+        text = isinstance(df.schema[name].dataType, T.StringType) and not number
+        known = stat.parsed if number else stat.known
+        rules = {
+            "force_dropped": name in spec.force_drop,
+            "high_missing": stat.rows > 0 and 1 - known / stat.rows > spec.missing,
+            "high_cardinality": text and name not in low,
+            "non_numeric": spec.drop_categorical and not number and not is_numeric(df.schema[name].dataType),
+        }
+        broken = [rule for rule, holds in rules.items() if holds]
+        if broken and name not in spec.kept():
+            out[name] = broken[0]
+    return out
+
+
 def clean_features(df: DataFrame, spec: CleanSpec = CleanSpec()) -> tuple[DataFrame, DataFrame]:
     """Cleaned frame with upper-case names, and a log of (rule, column).
 
-    Order: coerce numeric text, drop by name, by missing rate, by cardinality, non-numeric
-    columns, by correlation.  Protected columns and the target survive every rule.  The
-    schema depends on the data, so up to four aggregate jobs run here; the returned frame
-    itself is lazy.  Store a frame that is costly to compute first (``materialize``).
+    Each column gets one verdict: dropped by the first rule that it breaks (name, missing
+    rate, cardinality, type, then correlation among what is left), or kept.  Protected columns
+    and the target survive every rule.  The schema depends on the data, so up to four
+    aggregate jobs run here; the returned frame itself is lazy.  Store a frame that is costly
+    to compute first (``materialize``).
     """
-    protected = [*spec.protected]
-    if spec.target and spec.target not in protected:
-        protected.append(spec.target)
-    log: list[tuple[str, str]] = [("protected", c) for c in protected if c in df.columns]
-
-    stats = _profile(df)
+    stats = _profile(df, spec.cardinality)
     numeric = {c for c, s in stats.items() if s.reads_as_number(spec.numeric_share)}
-    work = _coerced(df, numeric)
-
-    def drop(rule: str, candidates: Sequence[str]) -> None:
-        nonlocal work
-        gone = [c for c in candidates if c in work.columns and c not in protected]
-        log.extend((rule, c) for c in gone)
-        work = work.drop(*gone)
-
-    drop("force_dropped", spec.force_drop)
-
-    def missing_rate(c: str) -> float:
-        s = stats[c]
-        known = s.parsed if c in numeric else s.known
-        return 1 - known / s.rows if s.rows else float("nan")
-
-    drop("high_missing", [c for c in work.columns if missing_rate(c) > spec.missing])
-    text = string_columns(work)
-    low = _within(work, {c: stats[c].sketch for c in text}, spec.cardinality) if text else {}
-    drop("high_cardinality", [c for c in text if c not in low])
-    if spec.drop_categorical:
-        drop("non_numeric", [c for c in work.columns if c not in numeric_columns(work)])
-    if spec.target in work.columns:
-        features = [c for c in numeric_columns(work) if c != spec.target]
-        if len(features) > 1:
-            marked, _ = correlated_columns(work, features, spec.correlation)
-            drop("high_correlation", marked)
+    open_text = {c: s.sketch for c, s in stats.items() if s.sketch is not None and c not in numeric}
+    verdicts = _verdicts(df, spec, stats, _within(df, open_text, spec.cardinality))
+    left = _coerced(df, numeric).select(*[_q(c) for c in df.columns if c not in verdicts])
+    if spec.target in left.columns:
+        features = [c for c in numeric_columns(left) if c != spec.target]
+        close, _ = correlated_columns(left, features, spec.correlation)
+        verdicts |= {c: "high_correlation" for c in close if c not in spec.kept()}
+    log = [("protected", c) for c in spec.kept() if c in df.columns] + [(r, c) for c, r in verdicts.items()]
     log_df = df.sparkSession.createDataFrame(
         [(rule, c.upper()) for rule, c in log], "rule string, column string"
     )
-    return work.toDF(*[c.upper() for c in work.columns]), log_df
+    return left.select(*[_q(c).alias(c.upper()) for c in left.columns if c not in verdicts]), log_df

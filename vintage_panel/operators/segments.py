@@ -83,13 +83,16 @@ def volume_pivot(
 
 
 def weighted_average(
-    rates: DataFrame, rate: str, weight: str, by: Sequence[str] = ("variable",)
+    rates: DataFrame, weights: dict[str, str], by: Sequence[str] = ("variable",)
 ) -> DataFrame:
-    """Weighted mean rate; a NULL rate adds nothing but keeps its weight."""
+    """Weighted mean of each rate (rate -> weight); a NULL rate adds nothing but keeps its weight."""
     return rates.groupBy(*by).agg(
-        F.try_divide(
-            F.coalesce(F.sum(F.col(rate) * F.col(weight)), F.lit(0.0)), F.sum(weight)
-        ).alias(f"avg_{rate}")
+        *[
+            F.try_divide(
+                F.coalesce(F.sum(F.col(rate) * F.col(weight)), F.lit(0.0)), F.sum(weight)
+            ).alias(f"avg_{rate}")
+            for rate, weight in weights.items()
+        ]
     )
 
 
@@ -105,16 +108,18 @@ def last_observation(
     )
 
 
-def segment_snapshot(
-    df: DataFrame, variables: Sequence[str], at: int, mob: str = "mob"
+def segment_snapshots(
+    df: DataFrame, variables: Sequence[str], at: Sequence[int], mob: str = "mob"
 ) -> DataFrame:
-    """At one MOB: sums, share of units and rates per (variable, level).
+    """At each MOB of ``at``: sums, share of units and rates per (variable, level).
 
-    The unit total per variable has one row per variable and is broadcast.
+    One pass over the panel for all of them.  The unit totals have one row per variable and
+    MOB and are broadcast.
     """
-    sums = _totals(df.filter(F.col(mob) == at), variables, [])
-    whole = sums.groupBy("variable").agg(F.sum("tot_nz_unit").alias("__units"))
-    return sums.join(F.broadcast(whole), "variable").select(
+    sums = _totals(df.filter(F.col(mob).isin(*at)), variables, [mob])
+    whole = sums.groupBy("variable", mob).agg(F.sum("tot_nz_unit").alias("__units"))
+    return sums.join(F.broadcast(whole), ["variable", mob]).select(
+        mob,
         "variable",
         "level",
         *SUMS,

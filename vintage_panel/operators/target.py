@@ -179,7 +179,7 @@ def base_with_flags(
     lookups: DataFrame,
     *,
     key: str,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
     hi: int = HORIZON,
 ) -> DataFrame:
     """``base`` with target flags; all lookups arrive in one table, so it is joined once."""

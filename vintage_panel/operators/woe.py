@@ -111,9 +111,10 @@ def woe_transform(
     The finished map has at most ``max_levels + 1`` entries per feature and becomes a
     literal, so the rows are neither shuffled nor joined.
     """
-    features = (
-        eligible(df, target, ignore, max_levels) if features is None else list(features)
-    )
+    if features is None:
+        features = eligible(df, target, ignore, max_levels)
+    elif wide := sorted(set(features) - set(low_cardinality(df, list(features), max_levels))):
+        raise ValueError(f"more than {max_levels} levels: {', '.join(wide)}")
     found: dict[str, list[tuple[str, float]]] = {c: [] for c in features}
     known = woe_table(df, features, target).filter(F.col("woe").isNotNull())
     for r in known.select("feature", "level", "woe").collect():

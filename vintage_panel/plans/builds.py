@@ -49,7 +49,7 @@ def build_target(
     mislabeled: DataFrame,
     portfolio: DataFrame,
     spec: TargetSpec = TargetSpec(),
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """Population with exclusion flags, monthly bad flags and the model target.
 
@@ -94,7 +94,7 @@ def build_balances(
     as_of: str = "as_of",
     balance: str = "balance",
     hi: int = 24,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """Kept accounts with monthly balances, missing flags and the balance at the event."""
     return wide_panel(
@@ -121,7 +121,7 @@ def build_profile(
     *,
     key: str = "account_id",
     hi: int = 24,
-    hot: Sequence | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """Balances with profile columns, monthly credit lines and the line at the event."""
     profiled = profile(balances.drop("channels"), apps, scores, key=key, hot=hot)
@@ -149,8 +149,8 @@ def build_panel(
     txn: DataFrame,
     spec: EnrichSpec = EnrichSpec(),
     only: str | None = "Revolver",
-    hot_accounts: Sequence | None = None,
-    hot_apps: Sequence | None = None,
+    hot_accounts: DataFrame | tuple | None = None,
+    hot_apps: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """Account-by-month behaviour panel.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from datetime import date
 
@@ -31,7 +32,7 @@ from ..operators.population import (
     population,
 )
 from ..operators.profile import profile
-from ..operators.skew import NO_HOT_KEYS, hot_keys
+from ..operators.skew import NO_HOT_KEYS, hot_keys, lookup_join
 from ..operators.target import COMPONENTS, account_lookups, base_with_flags
 from ..sources.adapters import Inputs
 from ..sources.io import date_window, materialize, read_table
@@ -225,7 +226,7 @@ left join master m on right(m.full_acct, 16) = a.acct_id""",
 )
 def _(t):
     base = t["acct"].select("acct_id", "book_vintage")
-    joined = lk.join_on_suffix(base, t["master"], "acct_id", "full_acct", hot=NO_HOT_KEYS)
+    joined = lk.join_on_suffix(base, t["master"], "acct_id", "full_acct")
     return rounded(joined.drop("full_acct"), 4, "balance")
 
 
@@ -246,7 +247,7 @@ def _(t):
 from funnel f left join scores s on f.ext_id = s.ext_id""",
 )
 def _(t):
-    joined = t["funnel"].select("app_id", "ext_id", "pscore").join(t["scores"], "ext_id", "left")
+    joined = lookup_join(t["funnel"].select("app_id", "ext_id", "pscore"), t["scores"], "ext_id")
     return joined.select(
         "app_id",
         F.round(score_fallback(F.col("pscore"), F.col("score")), 4).alias("final_score"),
@@ -525,6 +526,7 @@ def _balances(t, hot=None) -> DataFrame:
   count(distinct account_id) accounts
 from (select a.account_id, a.balance_t24, p.balance as other from q_balances a
   left join perf p on a.account_id = p.account_id and p.mob = 24
+  where a.book_vintage between date '2022-01-31' and date '2024-03-31'
   qualify row_number() over (partition by a.account_id order by p.period, a.app_id) = 1)
 group by 1""",
 )
@@ -532,8 +534,11 @@ def _(t):
     other = t["perf"].filter(F.col("mob") == 24).select(
         "account_id", "period", F.col("balance").alias("perf_balance")
     )
+    booked = date_window(
+        _balances(t), "book_vintage", date(2022, 1, 31), date(2024, 3, 31), closed="both"
+    )
     return qc.reconcile(
-        _balances(t), other, key="account_id", value="balance_t24", other_value="perf_balance",
+        booked, other, key="account_id", value="balance_t24", other_value="perf_balance",
         other_order="period", tie=("app_id",),
     )
 
@@ -978,9 +983,14 @@ CORR_COLS = {
     "net": "l_extendedprice * (1 - l_discount)",
     "gross": "case when l_linenumber = 7 then null else l_extendedprice * (1 + l_tax) end",
     "flat": "cast(1 as double)",
+    # constant wherever gross is known
+    "hush": "case when l_linenumber = 7 then l_quantity else cast(5 as double) end",
+    "tiny": "cast(1000000000 as double) + l_discount / 100",
 }
+# the oracle takes the large offset away first, which is exact
+CORR_EXACT = {**CORR_COLS, "tiny": "(cast(1000000000 as double) + l_discount / 100) - cast(1000000000 as double)"}
 CORR_NAMES = list(CORR_COLS)
-CORR_BASE = f"(select {_sel(f'{e} {n}' for n, e in CORR_COLS.items())} from lineitem)"
+CORR_BASE = f"(select {_sel(f'{e} {n}' for n, e in CORR_EXACT.items())} from lineitem)"
 CORR_SQL = " union all ".join(
     f"""select '{a}' as "left", '{b}' as "right",
   round(case when isnan(corr({a}, {b})) then null else corr({a}, {b}) end, 8) corr from {CORR_BASE}"""
@@ -998,14 +1008,15 @@ def _(t):
     return rounded(scr.correlation_pairs(_corr_input(t)), 8, "corr")
 
 
-@query("correlation_pairs_aggregate", CORR_SQL)
+@query("correlation_offenders", f"select * from ({CORR_SQL}) where abs(corr) > 0.95")
 def _(t):
-    return rounded(scr.correlation_pairs(_corr_input(t), few=100), 8, "corr")
+    return rounded(scr.correlation_pairs(_corr_input(t), above=0.95), 8, "corr")
 
 
 @query(
     "correlation_prune",
-    f"select {_sel(n for n in CORR_NAMES if n not in ('net', 'gross'))} from {CORR_BASE}",
+    f"""select {_sel(f'{CORR_COLS[n]} {n}' for n in CORR_NAMES if n not in ('net', 'gross', 'tiny'))}
+from lineitem""",
 )
 def _(t):
     return scr.correlation_prune(_corr_input(t), 0.95)
@@ -1253,10 +1264,10 @@ def _(t):
 from q_rates group by variable""",
 )
 def _(t):
-    rates = _rates(t)
-    unit = seg.weighted_average(rates, "unit_rate", "tot_nz_unit")
-    dollar = seg.weighted_average(rates, "dollar_rate", "tot_nz_dollar")
-    return rounded(unit.join(dollar, "variable"), 6, "avg_unit_rate", "avg_dollar_rate")
+    means = seg.weighted_average(
+        _rates(t), {"unit_rate": "tot_nz_unit", "dollar_rate": "tot_nz_dollar"}
+    )
+    return rounded(means, 6, "avg_unit_rate", "avg_dollar_rate")
 
 
 @query(
@@ -1271,15 +1282,14 @@ def _(t):
 SNAP_COLS = f"variable, level, rvl_unit, tot_nz_unit, {_round_sql(MONEY)}, acct_mix, unit_rate, dollar_rate"
 
 
-def _snapshot(t, at: int) -> DataFrame:
-    shot = seg.segment_snapshot(_segments(t), G_VARS, at)
-    return rounded(shot, 8, "acct_mix", *RATE_COLS)
+def _snapshots(t, *at: int) -> DataFrame:
+    shot = seg.segment_snapshots(_segments(t), G_VARS, at)
+    return rounded(shot, 8, "acct_mix", *RATE_COLS).withColumnRenamed("mob", "at_mob")
 
 
 @query("segment_snapshot", f"select at_mob, {SNAP_COLS} from q_snapshots")
 def _(t):
-    shots = [_snapshot(t, at).withColumn("at_mob", F.lit(at)) for at in (3, 6, 11)]
-    return rounded(shots[0].unionByName(shots[1]).unionByName(shots[2]), 4, *MONEY)
+    return rounded(_snapshots(t, 3, 6, 11).withColumn("at_mob", F.col("at_mob").cast("int")), 4, *MONEY)
 
 
 @query(
@@ -1293,7 +1303,7 @@ from q_snapshots where at_mob = 6 and level = '{v}'"""
     ),
 )
 def _(t):
-    return seg.segment_matrix(_snapshot(t, 6), G_VARS)
+    return seg.segment_matrix(_snapshots(t, 6).drop("at_mob"), G_VARS)
 
 
 @query(
@@ -1306,8 +1316,15 @@ def _(t):
     return seg.ordered_levels(labels, ["Direct Mail", "CK Lightbox"])
 
 
+def _with_checkpoints(spark: SparkSession) -> SparkSession:
+    """A local session without a checkpoint folder gets one; a cluster has to name its own."""
+    if spark.sparkContext.master.startswith("local[") and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vintage-panel-"))
+    return spark
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+        return lambda spark, sf_dir: fn(Inputs(_with_checkpoints(spark), sf_dir))
 
     return {name: bind(fn) for name, fn in QUERIES.items()}

@@ -142,7 +142,8 @@ from {{snap}} group by acct_id, case when pull = '5' then as_of else last_day(as
     "portfolio": """
 select concat('4000', acct_id) full_acct, as_of, open_date, status, del_days from {day}""",
     "master": """
-select concat('4000', acct_id) full_acct, as_of, balance from {day} where status <> 'B'""",
+select concat('4000', acct_id) full_acct, as_of,
+  case when status <> 'B' then balance end balance from {day}""",
     # utilization history with fees, unique per account and day
     "util": """
 select acct_id, as_of load_date, mob, status, reason,
@@ -202,15 +203,16 @@ select 1000000000000000 + o_custkey account_no, {_day('l_shipdate')} as_of,
   l_quantity cash_regular, case when l_linestatus = 'O' then null else l_quantity end cash_atm
 from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
     "disputes": f"""
-select {_account('o_custkey')} account_id, {_day('l_shipdate')} reported,
+select case when l_returnflag = 'R' and o_orderstatus = 'P' then {_account('o_custkey')} end account_id,
+  {_day('l_shipdate')} reported,
   concat('0', cast(l_linenumber as string)) type_cd,
   case when l_linestatus = 'F' then 'N' else 'Y' end in_db,
   l_extendedprice disputed, l_extendedprice * l_tax chargeoff
-from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
-where l_returnflag = 'R' and o_orderstatus = 'P'""",
+from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
     "mislabel": """
-select 1000000000000000 + c_custkey account_no, c_acctbal < 2000 filed_incorrectly
-from {customer} where c_mktsegment in ('BUILDING', 'MACHINERY')""",
+select case when c_mktsegment in ('BUILDING', 'MACHINERY') then 1000000000000000 + c_custkey end account_no,
+  c_acctbal < 2000 filed_incorrectly
+from {customer}""",
     # a small model table with columns that trigger each screening rule
     "feat": """
 select p.account_id, p.mob, p.status, p.channel, p.balance, p.credit_line, p.acq_line,

@@ -42,18 +42,11 @@ def date_window(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder.
-    """
+    """Folder all executors reach, as named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        import tempfile
-
-        return tempfile.mkdtemp(prefix="vintage_panel-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return named.rstrip("/")
 
 
 def materialize(
@@ -67,11 +60,13 @@ def materialize(
 
     Reading back cuts the lineage: a lost executor re-reads files instead of
     recomputing everything upstream.  Without ``target`` a new folder below
-    :func:`shared_dir` is used.
+    :func:`shared_dir` is used, which goes when the session ends.
     """
     spark = df.sparkSession
     if target is None:
         target = f"{shared_dir(spark)}/materialized-{uuid.uuid4().hex}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
