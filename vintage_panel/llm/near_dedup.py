@@ -5,19 +5,21 @@ maximum, so the evaluations are half of the signature's length.  Bands of four v
 candidates together; every link is confirmed on the full sets.
 
 No bucket is expanded into all pairs.  Equal sets are one node.  First every node of a
-bucket is compared with one node of the bucket; what links forms components.  Then only
-nodes of one bucket that lie in different components are compared, so no link that joins
-components is lost, while a group of many copies costs one comparison per copy and bucket.
+bucket is compared with one node of the bucket; what links forms components.  Nodes of
+buckets that still hold several components then go through an exact join on their rarest
+shingles, which names the pairs across components that can link at all.  So no link that
+joins components is lost, while a group of many copies costs one comparison per copy.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .common import SPACES, stored
 from .components import connected_components
@@ -99,6 +101,79 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    shingles = Shingler()
+    for frame in frames:
+        yield pd.DataFrame(
+            {"node": frame["node"], "root": frame["root"], "n": frame["n"],
+             "tokens": [shingles(t).view(np.int64) for t in frame["text"]]}
+        )
+
+
+def _size_class(n: str) -> Column:
+    return F.floor(F.log(F.expr(n).cast("double")) / math.log(1.05)).cast("int")
+
+
+def _pairs_across(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, root) with different roots that may link; none that does is missed.
+
+    An exact set-similarity join.  Each set is ordered from its rarest shingle on.  Of two
+    linked sets the smaller one's first seventh and the larger one's first quarter share a
+    shingle, and behind their first common one both are long enough.  Shingles that all stand
+    in one component are left out, and nodes of a shingle's main component meet the others only.
+    """
+    whole = texts.join(nodes, "node").select("node", "root", "n", "text")
+    tokens = stored(
+        whole.mapInPandas(_sets, "node binary, root binary, n long, tokens array<bigint>")
+        .select("node", "root", "n", F.explode("tokens").alias("token"))
+    )
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    ranked = (
+        tokens.join(often, "token")
+        .groupBy("node", "root", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("common"))
+        # shingles of this set alone come first
+        .withColumn("alone", F.col("n") - F.size("common"))
+        .withColumn("probe", F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1"))
+        .withColumn("index", F.expr(f"n - (2 * {PERCENT} * n + {99 + PERCENT}) div {100 + PERCENT} + 1"))
+        .filter("probe > alone")
+        .select("node", "root", "n", "index", "alone", F.posexplode(F.expr("slice(common, 1, int(probe - alone))")))
+        .select("node", "root", "n", "index", (F.col("alone") + F.col("pos") + 1).alias("at"), "col.token")
+    )
+    entries = stored(ranked)
+    main = (
+        entries.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
+        .groupBy("token").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+        .filter("roots > 1")
+        .select("token", "main")
+    )
+    entries = stored(entries.join(main, "token").withColumn("other", F.col("root") != F.col("main")).drop("main"))
+    smaller = entries.filter("at <= index").select(
+        "token", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"),
+        F.col("at").alias("at_b"), F.col("other").alias("other_b"), _size_class("n").alias("class"),
+    )
+    # partners of a larger set: from 75 % of its size to what is left behind this shingle
+    most = F.expr(f"least(n, ({100 + PERCENT} * (n - at + 1)) div {PERCENT} - n)")
+    larger = (
+        entries.withColumn("most", most)
+        .withColumn("fewest", F.expr(f"({PERCENT} * n + 99) div 100"))
+        .filter("most >= fewest and fewest > 0")
+        .select(
+            "token", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"),
+            F.col("at").alias("at_a"), F.col("other").alias("other_a"),
+            F.explode(F.sequence(_size_class("fewest"), _size_class("most"))).alias("class"),
+        )
+    )
+    fits = F.expr(
+        "root_a <> root_b and n_b <= n_a and "
+        f"{100 + PERCENT} * (1 + least(n_a - at_a, n_b - at_b)) >= {PERCENT} * (n_a + n_b)"
+    )
+    met = larger.join(smaller.filter("other_b"), ["token", "class"]).filter(fits).select("a", "b").union(
+        larger.filter("other_a").join(smaller.filter("not other_b"), ["token", "class"]).filter(fits).select("a", "b")
+    )
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     permutations: int = PERMUTATIONS, band: int = BAND,
@@ -152,14 +227,9 @@ def near_groups(
     mixed_buckets = (
         placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     )
-    open_rows = stored(placed.join(mixed_buckets.select("bucket"), "bucket"))
-    one = open_rows.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    two = open_rows.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    # only across components; a star's own comparisons are done
-    across = (
-        one.join(two, "bucket").filter("a < b and root_a <> root_b").select("a", "b").distinct()
-        .join(stars.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    )
+    open_nodes = stored(placed.join(mixed_buckets.select("bucket"), "bucket").select("node", "root").distinct())
+    done = stars.select(F.col("b").alias("a"), F.col("a").alias("b")).union(stars)
+    across = _pairs_across(open_nodes, texts).join(done, ["a", "b"], "left_anti")
     more = stored(_links(across, texts))
     if not more.isEmpty():
         roots = connected_components(links.union(more))
