@@ -111,3 +111,33 @@ left join broken using (doc_id)
 """
 
 ORACLES = {"op1_mix": MIX, "op2_exact_dedup": EXACT, "op10_quality": QUALITY}
+
+LINES = r"""
+with line as (
+  select doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i
+  from documents),
+placed as (
+  select *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare,
+    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' as is_full
+  from line),
+full_lines as (
+  select doc_id, bare, row_number() over (partition by doc_id order by i) - 1 as place from placed where is_full),
+windows as (
+  select doc_id, place, [bare, lead(bare, 1) over d, lead(bare, 2) over d] as w, lead(bare, 2) over d is not null as whole
+  from full_lines window d as (partition by doc_id order by place)),
+later as (
+  select doc_id, place from windows where whole
+  qualify row_number() over (partition by w order by doc_id, place) > 1),
+covered as (select distinct doc_id, place + k as place from later, unnest([0, 1, 2]) u(k)),
+numbered as (
+  select *, sum(is_full::int) over (partition by doc_id order by i) - 1 as place from placed),
+kept as (
+  select n.*, n.is_full and c.place is not null as gone
+  from numbered n left join covered c on n.doc_id = c.doc_id and n.place = c.place)
+select doc_id, count(*) filter (is_full) as n_lines, count(*) filter (gone) as n_removed,
+  case when any_value(text) is not null then sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) end as kept_sha256
+from kept group by doc_id
+"""
+
+ORACLES["op4_line_dedup"] = LINES
