@@ -1,12 +1,15 @@
 from datetime import date
 
+import pytest
+
 from vintage_panel.operators import behaviour as beh
 
 HIST = (
     "acct_id string, load_date date, status string, reason string, month_end_ind int, "
     "launch_phase string, fraud_flag string, accum_chargeoff int, revolver_flag string, "
     "merchant double, cash double, monthly_fee double, late_fee double, late_fee_refund double, "
-    "annual_fee double, monthly_interest double, merch_apr double, principal double"
+    "annual_fee double, monthly_interest double, merch_apr double, principal double, "
+    "payment double, payment_reversal double"
 )
 D = date(2024, 1, 31)
 
@@ -16,7 +19,7 @@ def hist(spark, *rows):
         acct_id="a", load_date=D, status=" ", reason="00", month_end_ind=1, launch_phase="04A",
         fraud_flag="N", accum_chargeoff=0, revolver_flag="Revolver", merchant=1.0, cash=2.0,
         monthly_fee=40.0, late_fee=3.0, late_fee_refund=1.0, annual_fee=None,
-        monthly_interest=1.0, merch_apr=20.0, principal=7.0,
+        monthly_interest=1.0, merch_apr=20.0, principal=7.0, payment=5.0, payment_reversal=None,
     )
     return spark.createDataFrame(
         [tuple({**base, "acct_id": str(i), **r}.values()) for i, r in enumerate(rows)], HIST
@@ -53,6 +56,13 @@ def test_fee_arithmetic(spark):
     assert (got["3"].gross_sales, got["3"].net_annual_fee) == (2.0, 39.0)
 
 
+def test_two_history_rows_on_a_day_raise(spark):
+    df = hist(spark, {"acct_id": "a"}, {"acct_id": "a"})
+    with pytest.raises(Exception, match="more than one history row"):
+        beh.monthly_history(df).collect()
+    assert beh.monthly_history(df, check_unique=False).count() == 2
+
+
 def test_monthly_history_equals_the_three_filtered_tables(spark):
     df = hist(
         spark,
@@ -69,7 +79,7 @@ def test_monthly_history_equals_the_three_filtered_tables(spark):
         parts = (
             df.select(*keys)
             .join(beh.revolver_months(df, only), keys, "left")
-            .join(beh.monthly_fees(df).drop("month_end"), keys, "left")
+            .join(beh.monthly_fees(df).drop("month_end", *beh.FEE_PARTS), keys, "left")
             .join(beh.month_end_principal(df).drop("month_end"), keys, "left")
         )
         for r in parts.collect():

@@ -119,6 +119,13 @@ ADJUSTMENT_CODE = 256
 LAUNCH_PHASES = ("04", "05")
 EXTRACT_MOBS = (3, 6, 11, 15, 23)
 EXTRACT_MIN_YEAR = 2023
+# fixed values: cohorts of the model
+COHORT_MOBS = (6, 11, 15)
+COHORT_YEARS = (2023, 2024)
+# fixed values: columns left out of the information-value ranking
+IV_IGNORE_ANY_CASE = ("pmic", "band")
+IV_IGNORE_PARTS = ("SUPPRE", "VINTAGE", "AUATTR")
+IV_IGNORE_NAMES = ("CCFLOW", "PRICETESTSEGMENT", "BOOKMONTH", "REVOLVERFLAGFINAL")
 
 # Name fragments and prefixes that mark columns to drop before screening.
 DROP_FRAGMENTS = (

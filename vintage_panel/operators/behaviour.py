@@ -28,9 +28,9 @@ from .skew import lookup_join
 class EnrichSpec:
     """Which attribute columns become tags, flags, counts and behaviour labels."""
 
-    patterns: tuple[str, ...] = ("pattern1", "pattern2", "pattern3")
-    balances: tuple[str, ...] = ("bal1",)
-    counts: tuple[str, ...] = ("cnt1", "cnt2")
+    patterns: tuple[str, ...] = tuple(f"pattern{k}" for k in range(1, 16))
+    balances: tuple[str, ...] = tuple(f"bal{k}" for k in range(1, 6))
+    counts: tuple[str, ...] = tuple(f"cnt{k}" for k in range(1, 15))
     bureau_codes: tuple[str, ...] = ("rv78", "rv79", "rv81")
     application_codes: tuple[str, ...] = ("rv80",)
     start: date | None = date(2023, 1, 1)
@@ -189,6 +189,10 @@ def _fees() -> dict[str, Column]:
     }
 
 
+# shown by monthly_fees as they are
+FEE_PARTS = ("payment", "payment_reversal", "late_fee", "late_fee_refund", "annual_fee", "principal")
+
+
 def _revolver_rows() -> Column:
     # "is not true": here a NULL reason keeps the row
     return (
@@ -209,12 +213,13 @@ def month_end_principal(hist: DataFrame, key: str = "acct_id") -> DataFrame:
 
 
 def monthly_fees(hist: DataFrame, key: str = "acct_id") -> DataFrame:
-    """Gross sales and net fees of flagged month ends in the launch phases."""
+    """Gross sales, net fees and their parts of flagged month ends in the launch phases."""
     return hist.filter(_fees_rows()).select(
         key,
         "load_date",
         F.last_day("load_date").alias("month_end"),
         *[c.alias(n) for n, c in _fees().items()],
+        *FEE_PARTS,
     )
 
 
@@ -229,24 +234,33 @@ def revolver_months(
 
 
 def monthly_history(
-    hist: DataFrame, only: str | None = "Revolver", key: str = "acct_id"
+    hist: DataFrame, only: str | None = "Revolver", key: str = "acct_id", check_unique: bool = True
 ) -> DataFrame:
     """Behaviour flag, fees and principal in one pass and one row per (account, date).
 
     Each is NULL where its own row filter does not hold, which is what three filtered
-    left joins of the same table on account and date give when those are unique.
+    left joins of the same table on account and date give when those are unique.  Two rows
+    of one account and date raise unless ``check_unique`` is off.
     """
     flag = _revolver_rows()
     if only is not None:
         flag = flag & (F.col("revolver_flag") == only)
     fees = _fees_rows()
-    return hist.filter(_not_fraud()).select(
-        key,
-        "load_date",
-        F.when(flag, F.col("revolver_flag")).alias("revolver_flag"),
-        *[F.when(fees, c).alias(n) for n, c in _fees().items()],
-        F.when(_month_end_flagged(), F.col("principal")).alias("principal"),
+    values = {
+        "revolver_flag": F.when(flag, F.col("revolver_flag")),
+        **{n: F.when(fees, c) for n, c in _fees().items()},
+        "principal": F.when(_month_end_flagged(), F.col("principal")),
+    }
+    rows = hist.filter(_not_fraud()).select(key, "load_date", *[c.alias(n) for n, c in values.items()])
+    if not check_unique:
+        return rows
+    # the join that follows needs the same shuffle by account and date
+    per_day = rows.groupBy(key, "load_date").agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.any_value(n).alias(n) for n in values]
     )
+    twice = F.raise_error(F.lit(f"more than one history row per {key} and load_date"))
+    one = F.when(F.col("__rows") == 1, F.col("load_date")).otherwise(twice)
+    return per_day.withColumn("load_date", one).drop("__rows")
 
 
 def net_sales(txn: DataFrame, key: str = "account_no", out_key: str = "acct_id") -> DataFrame:
@@ -308,7 +322,7 @@ def behaviour_panel(
 
 
 def panel_keys(spec: EnrichSpec = EnrichSpec()) -> dict[str, Column]:
-    """Grouping keys of the aggregate; 53 with the full set of bureau attributes."""
+    """Grouping keys of the aggregate: 53 with the attributes of the default spec."""
     year, quarter, label = year_quarter(F.col("entry_date"))
     return {
         "year": year,
@@ -407,16 +421,34 @@ def behaviour_aggregate(
     measures: Mapping[str, Column] | None = None,
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Sums of ``measures`` per combination of ``keys``; ordered by the first five keys."""
+    """Sums of ``measures`` per combination of ``keys``.
+
+    Ordered by the first five keys, then by the others, so that a range sort has as many
+    distinct values to cut at as there are rows.
+    """
     keys = panel_keys() if keys is None else keys
     measures = panel_measures() if measures is None else measures
     out = panel.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
         *[c.alias(n) for n, c in measures.items()]
     )
-    order = list(keys)[:5] if order_by is None else list(order_by)
+    order = list(keys) if order_by is None else list(order_by)
     return out.orderBy(*order) if order else out
 
 
+def cohort_slices(
+    rows: DataFrame,
+    mobs: Sequence[int] = codes.COHORT_MOBS,
+    years: Sequence[int] = codes.COHORT_YEARS,
+    *,
+    mob: str = "mob",
+    entered: str = "entry_date",
+) -> DataFrame:
+    """Rows of each (MOB, vintage year) cohort, labelled ``cohort``, all slices in one pass."""
+    year = F.year(entered)
+    label = F.concat(F.lit("m"), F.col(mob).cast("string"), F.lit("_"), year.cast("string"))
+    return rows.filter(F.col(mob).isin(*mobs) & year.isin(*years)).withColumn("cohort", label)
+
+
 def model_extract(
     panel: DataFrame,
     spec: EnrichSpec = EnrichSpec(),

@@ -82,6 +82,18 @@ def eligible(
     return [c for c in cols if c in low]
 
 
+def ignored(columns: Sequence[str]) -> list[str]:
+    """Columns that the ranking leaves out by their names."""
+    parts, folded = codes.IV_IGNORE_PARTS, codes.IV_IGNORE_ANY_CASE
+    return [
+        c
+        for c in columns
+        if c in codes.IV_IGNORE_NAMES
+        or any(p in c for p in parts)
+        or any(p in c.lower() for p in folded)
+    ]
+
+
 def iv_ranking(
     df: DataFrame, target: str, ignore: Sequence[str] = (), max_levels: int = MAX_LEVELS
 ) -> DataFrame:

@@ -399,6 +399,23 @@ def _(t):
     return pn.never_active(t["snap"], "acct_id", "mob", "active", hi=12, months=2)
 
 
+@query(
+    "never_active_all_months",
+    """select acct_id, 1 never_active from (
+  select a.acct_id, m.mob, max(case when a.acct_id like '%7' then 0 else s.active end) active
+  from acct a cross join (select unnest(range(0, 25)) mob) m
+  left join snap s on s.acct_id = a.acct_id and s.mob = m.mob group by all)
+group by acct_id having max(active) = 0 and count(distinct mob) = 25""",
+)
+def _(t):
+    # one row per account and month 0..24; the fixture's accounts have gaps
+    months = t["acct"].select("acct_id", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("mob"))
+    seen = t["snap"].groupBy("acct_id", "mob").agg(F.max("active").alias("active"))
+    quiet = F.when(F.col("acct_id").endswith("7"), 0).otherwise(F.col("active"))
+    full = months.join(seen, ["acct_id", "mob"], "left").withColumn("active", quiet)
+    return pn.never_active(full, "acct_id", "mob", "active", hi=24, months=25)
+
+
 # ------------------------------------------------------------------ target
 BAD = [f"bad_mob{k}" for k in o.MOBS]
 EVER = list(COMPONENTS)
@@ -686,7 +703,7 @@ def _(t):
 
 # ------------------------------------------------------------------ behaviour
 ENRICHED = ["account_id", "app_id", "period", "channel_label", *o.CODES, *o.PATTERNS,
-            *[f"{p}_tag" for p in o.PATTERNS], "bal1_flag", "cnt1", "cnt2", "line_segment",
+            *[f"{p}_tag" for p in o.PATTERNS], *o.BUREAU, "line_segment",
             "price_segment", "acq_risk_tier", "credit_band"]
 
 
@@ -780,7 +797,7 @@ def _(t):
     return rounded(beh.net_sales(t["txn"]), 4, *SALES_COLS)
 
 
-@query("monthly_fees", f"select * replace (round(gross_sales, 4) as gross_sales) from ({o.FEES_SQL})")
+@query("monthly_fees", f"select * replace (round(gross_sales, 4) as gross_sales) from ({o.FEE_PARTS_SQL})")
 def _(t):
     return rounded(beh.monthly_fees(t["util"]), 4, "gross_sales")
 
@@ -843,6 +860,16 @@ def _(t):
 FLOATS = [*o.SUMS_WHERE_SQL, *o.SUMS_SQL]
 
 
+COARSE_KEYS = ("year", "line_segment", "mob_indicator")
+
+
+@query("behaviour_aggregate_coarse", o.aggregate_sql(COARSE_KEYS, 2))
+def _(t):
+    keys = beh.panel_keys(SPEC)
+    agg = beh.behaviour_aggregate(_panel(t), {k: keys[k] for k in COARSE_KEYS})
+    return rounded(agg, 2, *FLOATS)
+
+
 @query("behaviour_aggregate", o.aggregate_sql(list(o.KEYS_SQL)))
 def _(t):
     return rounded(beh.behaviour_aggregate(_panel(t)), 8, *FLOATS)
@@ -864,7 +891,7 @@ EXTRACT = ["account_id", "app_id", "entry_date", "cast(year(entry_date) as int)
            "mob", "period", "revolver_flag",
            "case when revolver_flag = 'Revolver' then 1 else 0 end is_revolver",
            *[f"{o.behaviour_case(c)} behaviour_{c}" for c in o.CODES], *o.PATTERNS,
-           *[f"{p}_tag" for p in o.PATTERNS], "bal1_flag", "cnt1", "cnt2"]
+           *[f"{p}_tag" for p in o.PATTERNS], *o.BUREAU]
 
 
 @query(
@@ -889,6 +916,16 @@ def _(t):
     return cohort.select("account_id", "period", "mob", "balance", "status")
 
 
+@query(
+    "cohort_slices",
+    """select account_id, period, mob, balance, status, 'm' || mob || '_' || year(entry_date) cohort
+from perf where mob in (6, 11, 15) and year(entry_date) in (2023, 2024)""",
+)
+def _(t):
+    cols = ["account_id", "period", "mob", "balance", "status", "cohort"]
+    return beh.cohort_slices(t["perf"]).select(*cols)
+
+
 FEAT_TEXT = ["account_id", "status", "channel", "pattern1", "cnt1", "cnt2", "behaviour",
              "mob_name", "rare_code", "balance_text"]
 FEAT_ALL = ["account_id", "mob", "status", "channel", "balance", "credit_line", "acq_line",

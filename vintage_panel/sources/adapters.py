@@ -163,6 +163,8 @@ select acct_id, as_of load_date, mob, status, reason,
   case when balance < 0 then null else cast(39 as double) end annual_fee,
   cast(floor(abs(balance) / 100) as double) monthly_interest,
   cast(10 + cast(floor(abs(balance)) as bigint) % 20 as double) merch_apr,
+  cast(floor(abs(balance) / 50) as double) payment,
+  case when balance < 0 then null else cast(floor(balance / 90000) as double) end payment_reversal,
   cast(floor(balance / 2) as double) principal
 from {day}""",
     # month-end performance
@@ -179,7 +181,7 @@ select m.acct_id account_id, a.app_id, m.as_of period, m.mob, m.balance,
   a.open_date entry_date, a.open_date book_month, a.channel, a.score, a.random02
 from {snap_me} m join {acct} a on m.acct_id = a.acct_id""",
     # credit reports: month patterns, balances, padded counts, behaviour codes
-    "bureau": f"""
+    "bureau_base": f"""
 select concat('R', cast(min(snap_id) as string)) report_id,
   {_pattern(8, 10)} pattern1, {_pattern(4, 20)} pattern2,
   case when sum(amount) < 500000 then null when count(*) < 7 then '-2'
@@ -192,6 +194,14 @@ select concat('R', cast(min(snap_id) as string)) report_id,
   case when min(amount) > 40000 then 'PRREVLR' when min(amount) > 0 then 'PRTRANS'
     else 'PRMIXED' end rv81
 from {{snap}} group by acct_id""",
+    # the full number of attributes, most of them made from the first ones
+    "bureau": "select *, "
+    + ", ".join(
+        [f"concat(substr(pattern1, {k % 5 + 1}), substr(pattern2, 1, {k % 4 + 1})) pattern{k}" for k in range(4, 16)]
+        + [f"case when bal1 > {k * 400} then bal1 - {k * 300} when bal1 > 0 then bal1 / {k} end bal{k}" for k in range(2, 6)]
+        + [f"lpad(cast(cast(cnt1 as int) * {k} % 97 as string), 3, '0') cnt{k}" for k in range(3, 15)]
+    )
+    + " from {bureau_base}",
     # card transactions
     "txn": f"""
 select 1000000000000000 + o_custkey account_no, {_day('l_shipdate')} as_of,
