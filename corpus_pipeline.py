@@ -6,20 +6,25 @@ DataFrame.  All but the last return the columns of documents.  run() applies the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vintage_panel.llm.common import documents, stored
 from vintage_panel.llm.language_id import UNDETERMINED, fit, language_id
 from vintage_panel.llm.line_dedup import line_dedup
 from vintage_panel.llm.mixing import mix
 from vintage_panel.llm.near_dedup import near_dedup
-from vintage_panel.llm.sentencepiece_codec import decode, encode, read_model
+from vintage_panel.llm.sentencepiece_codec import encode, read_model
 from vintage_panel.llm.settings import PIECES
 
 #: documents below this score are in no language that the model knows
 LEAST_SCORE = 0.35
 
 
+def _columns(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of ``docs`` out of the struct ``row``, with some replaced."""
+    return [new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; ``lang`` becomes the predicted one.
 
@@ -27,43 +32,36 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     found = language_id(docs, fit(docs))
     kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return kept.select("row.*", "lang_pred").withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    return kept.select(*_columns(docs, lang=F.col("lang_pred")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines in repeated three-line windows; emptied documents go."""
     deduped = line_dedup(docs)
-    changed = deduped.filter((F.col("n_removed") < F.col("n_lines")) | (F.col("n_removed") == 0))
-    return changed.select("row.*", "kept_text", "n_removed").withColumns(
-        {
-            "text": F.col("kept_text"),
-            "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars")),
-        }
-    ).select(docs.columns)
+    kept = deduped.filter((F.col("n_removed") < F.col("n_lines")) | (F.col("n_removed") == 0))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))
+    return kept.select(*_columns(docs, text=F.col("kept_text"), n_chars=n_chars))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return near_dedup(docs).select(docs.columns)
+    return near_dedup(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, shard by shard."""
-    return mix(docs).select("row.*").select(docs.columns)
+    return mix(docs).select("row.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether they decode to its text."""
-    model = read_model(PIECES)
-    both = decode(encode(docs, model), model)
-    text = F.translate(F.coalesce("row.text", F.lit("")), "▁", " ")
-    return both.select(
+    return encode(docs, read_model(PIECES)).select(
         "row.doc_id",
         "row.lang",
         "row.source",
         F.size("ids").cast("long").alias("n_ids"),
         "ids",
-        (F.col("decoded") == text).alias("round_trip"),
+        "round_trip",
     )
 
 

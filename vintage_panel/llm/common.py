@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", named)

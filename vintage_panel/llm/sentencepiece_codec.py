@@ -21,7 +21,9 @@ import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import partitions, stored
@@ -31,7 +33,7 @@ CHUNK = 32_768  # characters
 BLOCK = 256  # chunks whose matrices are multiplied in one group
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-KEPT = 200_000  # words, and pairs of pieces, that a task remembers at a time
+KEPT = 100_000  # words, and pairs of pieces, that a task remembers at a time
 
 State = tuple[int, int]  # characters of the piece before and after the cut
 START: State = (0, 0)
@@ -219,10 +221,14 @@ def read_model(path_: str) -> bytes:
         return file.read()
 
 
+SLICE = 256  # rows that a task turns into ids at a time
+
+
 def encode(
     docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK
 ) -> DataFrame:
-    """``docs`` in a struct ``row``, with ``ids`` (array of int), the encoding of the whole text.
+    """``docs`` in a struct ``row``, with ``ids`` (array of int), the encoding of the whole text,
+    and ``round_trip``, whether decoding the ids gives the text (its space signs as spaces).
 
     NULL and empty texts have no ids.  Rows that repeat an id and a text get the same ids each.
     An empty table gives no rows; other columns are carried along unread.
@@ -232,10 +238,20 @@ def encode(
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
-    def whole(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pieces(shared.value)
-        for batch in texts:
-            yield pd.Series([p.encode(p.normal(t)) for t in batch], dtype=object)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = part.column(0).field(text_col).to_pylist()
+                ids = [np.array(p.encode(p.normal(t)), np.int32) for t in texts]
+                same = [p.decode(i) == (t or "").replace(SPACE, " ") for t, i in zip(texts, ids, strict=True)]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                flat = np.concatenate([*ids, np.empty(0, np.int32)])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(ends, flat), pa.array(same, pa.bool_())],
+                    names=["row", "ids", "round_trip"],
+                )
 
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
@@ -243,8 +259,14 @@ def encode(
         F.to_json(document_key(id_col, text_col)).alias("key"),
     )
     giant = F.coalesce(F.length("text"), F.lit(0)) + 1 >= 2 * chunk
-    one_chunk = F.pandas_udf(whole, "array<int>")
-    small = rows.filter(~giant).select("row", one_chunk("text").alias("ids"))
+    encoded_type = T.StructType(
+        [
+            T.StructField("row", rows.schema["row"].dataType),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("round_trip", T.BooleanType()),
+        ]
+    )
+    small = rows.filter(~giant).select("row").mapInArrow(whole, encoded_type)
 
     # giant documents: chunks with the characters around them
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -326,7 +348,9 @@ def encode(
             F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])
         ).alias("ids")
     )
-    large = rows.filter(giant).select("row", "key").join(encoded, "key").select("row", "ids")
+    large = rows.filter(giant).join(encoded, "key").select("row", "text", "ids")
+    same = F.col("decoded") == F.translate("text", SPACE, " ")
+    large = decode(large, model).select("row", "ids", same.alias("round_trip"))
     return small.union(large)
 
 
