@@ -35,6 +35,10 @@ TEMPLATES = {
         "This work is licensed under CC BY 4.0. To view a copy of this license, visit https://creativecommons.org/licenses/by/4.0/",
         "Except where otherwise noted, content on this site is licensed under a Creative Commons Attribution 4.0 license.",
     ),
+    "CC-BY-NC": (
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "Licensed under the Mozilla Public License, version 2.0.",
