@@ -9,6 +9,8 @@ counts when enough of a template's word triples stand in the paragraph.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -64,16 +66,25 @@ def _templates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _own_triples(template: str) -> list[str]:
+    """The word triples of a template; templates are in ASCII letters."""
+    words = re.findall("[a-z0-9]+", template.lower())
+    return sorted({" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))})
+
+
 def _held(words: Column, label: float | None = None) -> Column:
     """Largest share of a template's triples that stand in the paragraph, over a family or all."""
     names = FAMILIES if label is None else [FAMILIES[int(label) - 1]]
-    mine = _triples(words)
-    shares = []
-    for name in names:
-        for text in TEMPLATES[name]:
-            own = _triples(tokens(F.lit(text)))
-            shares.append(F.size(F.array_intersect(mine, own)) / F.size(own))
-    return F.greatest(*shares, F.lit(0.0))
+    own = [_own_triples(text) for name in names for text in TEMPLATES[name]]
+
+    def largest(mine: Column) -> Column:
+        shares = [
+            F.size(F.array_intersect(mine, F.array(*[F.lit(x) for x in t]))) / F.lit(float(len(t))) for t in own
+        ]
+        return F.greatest(*shares, F.lit(0.0))
+
+    # the paragraph's triples are made once, not once per template
+    return F.element_at(F.transform(F.array(_triples(words)), largest), 1)
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,7 +113,8 @@ def _vectors(rows: DataFrame) -> DataFrame:
 
 def fit_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[LogisticRegressionModel, float]:
     """(model, probability that a family must reach)."""
-    rows = stored(_vectors(training_rows(docs, id_col, text_col)).select("label", "features", "draw"))
+    # some ten thousand rows whatever the corpus: each step of the fit is a few tasks
+    rows = stored(_vectors(training_rows(docs, id_col, text_col)).select("label", "features", "draw")).coalesce(4)
     part = F.pmod("draw", F.lit(4))
     model = LogisticRegression(maxIter=40, regParam=1e-4, family="multinomial").fit(rows.filter(part != 0))
     best = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
