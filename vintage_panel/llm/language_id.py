@@ -15,17 +15,18 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SAMPLE = 2_000  # labelled documents per language that the counts are taken on
+SAMPLE = 2_000  # labelled documents per language, about, that the counts are taken on
 LANGUAGES = 400  # no model has more languages; the most frequent labels count
 WORDS = 40_000  # known words and known n-grams of each length, the most frequent ones
 GRAMS = (5, 4, 3, 2, 1)
 MIN_COUNT = 2  # a word seen once says no more than its n-grams do
 SMOOTH = 0.5
 UNDETERMINED = "und"
-KEPT_WORDS = 200_000  # scores of words that a task remembers at a time
+KEPT_WORDS = 150_000  # scores of words that a task remembers at a time
 
 LETTERS = re.compile(r"[^\W\d_]+")
 JAVA_LETTERS = r"[^\p{L}\p{M}]+"
@@ -40,17 +41,16 @@ def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     known = (
         labelled.groupBy(F.col(lang_col).alias("lang")).count()
-        .orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+        .orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    sample = (
-        labelled.select(
-            F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-            F.xxhash64(F.col(by).cast("string"), F.lit("language sample")).alias("draw"),
-        )
-        .withColumn("place", place)
-        .filter(F.col("place") <= SAMPLE)
-        .join(F.broadcast(known), "lang", "left_semi")  # at most LANGUAGES rows
+    drawn = labelled.select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
+        F.xxhash64(F.col(by).cast("string"), text_col, F.lit("language sample")).alias("draw"),
+    )
+    # a share of each language's documents; nothing is gathered to be sorted
+    share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("count"))
+    sample = drawn.join(F.broadcast(known), "lang").filter(  # at most LANGUAGES rows
+        F.pmod("draw", F.lit(1 << 31)) < share * (1 << 31)
     )
     words = (
         sample.select("lang", F.explode(F.split(F.lower("text"), JAVA_LETTERS)).alias("piece"))
@@ -89,22 +89,64 @@ class Model:
         if found is not None:
             return found
         framed = f"_{word}_"
-        total, n = [0.0] * len(self.langs), 0
-        # (start, length) of n-grams to try; an unseen one gives way to the two inside it
         size = min(GRAMS[0], len(framed))
-        layer = set(range(len(framed) - size + 1))
-        while layer and size > 0:
-            below: set[int] = set()
-            table = self.tables.get(size, {})
-            for start in sorted(layer):
-                scores = table.get(framed[start : start + size])
-                if scores is None:
-                    below.update((start, start + 1))
-                else:
-                    n += 1
-                    total = [a + b for a, b in zip(total, scores, strict=True)]
-            layer, size = below if size > 1 else set(), size - 1
-        return [x / n for x in total] if n else None
+        starts = range(len(framed) - size + 1)
+        rows: list[list[float]] = []
+        while size:
+            known = self.tables.get(size, {})
+            scores = [known.get(framed[i : i + size]) for i in starts]
+            rows += [x for x in scores if x is not None]
+            # an unseen n-gram gives way to the two inside it
+            unseen = [i for i, x in zip(starts, scores, strict=True) if x is None]
+            if not unseen or size == 1:
+                break
+            starts = sorted({*unseen, *(i + 1 for i in unseen)})
+            size -= 1
+        return [sum(column) / len(rows) for column in zip(*rows, strict=True)] if rows else None
+
+
+class Scorer:
+    """Scores texts by a model; remembers the scores of words, a bounded number at a time."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows = np.zeros((1024, max(1, len(self.model.langs))))  # row 0: nothing known
+        self.places: dict[str, int] = {}
+        self.n = 1
+
+    def _learn(self, words: set[str]) -> None:
+        if self.n + len(words) > len(self.rows):
+            grown = np.zeros((max(2 * len(self.rows), self.n + len(words)), self.rows.shape[1]))
+            grown[: self.n] = self.rows[: self.n]
+            self.rows = grown
+        for word in words:
+            scores = self.model.word(word)
+            if scores is None:
+                self.places[word] = 0
+            else:
+                self.places[word] = self.n
+                self.rows[self.n] = scores
+                self.n += 1
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
+        """Language and score of one text."""
+        langs = self.model.langs
+        words = LETTERS.findall((text or "").lower())
+        if not words or not langs:
+            return UNDETERMINED, 0.0
+        if self.n > KEPT_WORDS:
+            self._forget()
+        unseen = set(words).difference(self.places)
+        if unseen:
+            self._learn(unseen)
+        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        total, n = self.rows[at].sum(axis=0), np.count_nonzero(at)
+        best = int(total.argmax())  # the first of ties
+        # the mean per word, so that the score does not run to 1 with the length of the text
+        return langs[best], float(1 / np.exp((total - total[best]) / max(n, 1)).sum())
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by: str = "doc_id") -> Model:
@@ -136,29 +178,6 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by: str
     return Model(langs, tables)
 
 
-def identify(text: str | None, model: Model, known: dict) -> tuple[str, float]:
-    """Language and score of one text; ``known`` remembers words."""
-    counts = Counter(LETTERS.findall((text or "").lower()))
-    if not counts or not model.langs:
-        return UNDETERMINED, 0.0
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    total, n = [0.0] * len(model.langs), 0
-    for word, times in counts.items():
-        scores = known.get(word, ())
-        if scores == ():
-            scores = known[word] = model.word(word)
-        if scores is not None:
-            n += times
-            for i, s in enumerate(scores):
-                total[i] += s * times
-    # the mean per word, so that the score does not run to 1 with the length of the text
-    best = max(range(len(total)), key=lambda i: (total[i], -i))
-    if not n:
-        return model.langs[best], 1.0 / len(total)
-    return model.langs[best], 1.0 / sum(math.exp((x - total[best]) / n) for x in total)
-
-
 def language_id(
     docs: DataFrame, model: Model, text_col: str = "text"
 ) -> DataFrame:
@@ -172,9 +191,9 @@ def language_id(
     shared = spark.sparkContext.broadcast(model)
 
     def mapped(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known: dict = {}
+        score = Scorer(shared.value)
         for batch in texts:
-            yield pd.DataFrame([identify(t, shared.value, known) for t in batch], columns=["lang_pred", "score"])
+            yield pd.DataFrame([score(t) for t in batch], columns=["lang_pred", "score"])
 
     predicted = F.pandas_udf(mapped, "lang_pred string, score double")
     return docs.select(

@@ -21,7 +21,7 @@ from .license_texts import TEMPLATES
 
 UNKNOWN = 0.0
 FAMILIES = tuple(TEMPLATES)
-SAMPLE = 20_000  # paragraphs of the corpus that stand for the unknown class, chosen by a hash
+SAMPLE = 20_000  # paragraphs, about, that stand for the unknown class, chosen by a hash
 VARIANTS = 60  # altered copies of each template
 FEATURES = 1 << 15
 LEAST = 0.5  # a family's probability is never below this
@@ -100,8 +100,12 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .filter(F.size("words") > 0)
     )
     lines = paragraphs(docs, id_col, text_col).filter("words is not null")
-    # by a hash of the words: the same paragraphs whatever the partitions
-    sample = lines.select("words", F.xxhash64("words").alias("draw")).orderBy("draw").limit(SAMPLE)
+    # by a hash of the words: the same paragraphs whatever the partitions, and none gathered to be sorted
+    n = docs.agg(F.sum(F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")))).first()[0] or 1
+    draw = F.xxhash64("words")
+    sample = lines.select("words", draw.alias("draw")).filter(
+        F.pmod(draw, F.lit(1 << 31)) < F.lit(min(1.0, SAMPLE / n) * (1 << 31))
+    )
     unknown = sample.distinct().filter(_held(F.col("words")) < 0.3)
     return known.unionByName(unknown.select(F.lit(UNKNOWN).alias("label"), "words", "draw"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import stored
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 20_000  # candidates that the classifier is fitted on, chosen by a hash
+SAMPLE = 20_000  # candidates, about, that the classifier is fitted on, chosen by a hash
 FEATURES = 4096
 ADD_FROM = 0.9  # probability from which a candidate that no base pattern has is added
 STEPS = 50
@@ -223,7 +223,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     patterns = each.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").collect()
     post = reliabilities([(r["votes"], r["n"]) for r in patterns]) if patterns else {}
     draw = F.xxhash64("id", "kind", "a", "features")
-    sample = each.select("features", "votes").orderBy(draw, "votes").limit(SAMPLE).collect()
+    share = min(1.0, SAMPLE / max(1, sum(r["n"] for r in patterns)))
+    sample = each.filter(F.pmod(draw, F.lit(1 << 31)) < F.lit(share * (1 << 31)))
+    sample = sorted(sample.select("features", "votes").collect())  # in one order, so reruns agree
     weights = fit_classifier([(r["features"], post[r["votes"]]) for r in sample])
     shared = docs.sparkSession.sparkContext.broadcast((weights, post))
 
