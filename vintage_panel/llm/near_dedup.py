@@ -5,7 +5,8 @@ maximum, so the evaluations are half of the signature's length.  Bands of four v
 candidates together; every link is confirmed on the full sets.
 
 No bucket is expanded into all pairs.  Equal sets are one node.  First every node of a
-bucket is compared with one node of the bucket; what links forms components.  Nodes of
+bucket is compared with one node of the bucket, and again with another one where its
+component still differs; what links forms components.  Nodes of
 buckets that still hold several components then go through an exact join on their rarest
 shingles, which names the pairs across components that can link at all.  So no link that
 joins components is lost, while a group of many copies costs one comparison per copy.
@@ -29,6 +30,7 @@ from .shingles import Shingler, mixed
 PERMUTATIONS = 72
 BAND = 4  # values; with 36 bands a pair at 0.75 is missed about once in a million
 PERCENT = 75
+STARS = 3  # rounds in which all nodes of a bucket meet one of them
 BLOCK = 2048  # shingles that a task permutes at a time
 
 
@@ -204,13 +206,10 @@ def near_groups(
         .agg(F.min("key").alias("key"), F.max("n").alias("n"), F.max("bands").alias("bands"))
     )
     entries = stored(nodes.select("node", F.explode("bands").alias("bucket")))
-    hubs = (
-        entries.groupBy("bucket")
-        .agg(F.min("node").alias("hub"), F.max("node").alias("other"))
-        .filter("hub <> other")
-        .select("bucket", "hub")
+    several = (
+        entries.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x <> y")
     )
-    buckets = stored(entries.join(hubs, "bucket"))  # buckets of two nodes or more
+    buckets = stored(entries.join(several.select("bucket"), "bucket"))  # of two nodes or more
     shared = buckets.select("node").distinct()
     chosen = (
         rows.filter("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.max("n").alias("n"))
@@ -218,19 +217,35 @@ def near_groups(
     )
     texts = stored(packed.join(chosen, "key").dropDuplicates(["key"]).select("node", "n", "text"))
 
-    stars = buckets.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    links = stored(_links(stars, texts))
-    roots = connected_components(links)
-    placed = stored(
-        buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    )
+    links, placed = None, buckets.select("bucket", "node", F.col("node").alias("root"))
+    for turn in range(STARS):
+        # one node per bucket: first the smallest, then one by a hash that differs by bucket
+        by = F.xxhash64("node", "bucket", F.lit(turn)) if turn else F.col("node")
+        hubs = (
+            placed.groupBy("bucket")
+            .agg(
+                F.min_by(F.struct("node", "root"), by).alias("hub"),
+                F.min("root").alias("x"),
+                F.max("root").alias("y"),
+            )
+            .filter("x <> y")
+            .select("bucket", "hub")
+        )
+        stars = (
+            placed.join(hubs, "bucket").filter("root <> hub.root")
+            .select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+        )
+        found = _links(stars, texts)
+        links = stored(found if links is None else links.union(found))
+        roots = connected_components(links)
+        placed = stored(
+            buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+        )
     mixed_buckets = (
         placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     )
     open_nodes = stored(placed.join(mixed_buckets.select("bucket"), "bucket").select("node", "root").distinct())
-    done = stars.select(F.col("b").alias("a"), F.col("a").alias("b")).union(stars)
-    across = _pairs_across(open_nodes, texts).join(done, ["a", "b"], "left_anti")
-    more = stored(_links(across, texts))
+    more = stored(_links(_pairs_across(open_nodes, texts), texts))
     if not more.isEmpty():
         roots = connected_components(links.union(more))
     roots = stored(roots)
