@@ -10,7 +10,7 @@ def brute(rows):
     seen, gone = set(), {}
     parts = {}
     for i, t, *_ in rows:
-        parts[i, t or ""] = [x.strip(SPACES) for x in (t or "").split("\n") if x.strip(SPACES)]
+        parts[i, t or ""] = [x.replace("\r", "").strip(" ") for x in (t or "").split("\n") if x.strip(SPACES)]
     for key in sorted(parts, key=lambda k: (k[0] is not None, k[0] or 0, k[1])):
         lines, covered = parts[key], set()
         for p in range(len(lines) - 2):
@@ -39,7 +39,7 @@ def test_windows_equal_brute_force(table, edge_rows):
         at = rng.randrange(20)
         own = [f"own {i} {k}" for k in range(rng.randrange(5))]
         rows.append((i + 1000, "\n".join(own + lines[at : at + rng.randrange(9)] + ["", "  "] + own), "en", "a"))
-    rows += [(2000, "a\na\na\na\na\n", "en", "a"), (2001, "x\n\ny\nz", "en", "a"), (2002, " x\ny \n\n z", "en", "a")]
+    rows += [(2000, "a\na\na\na\na\n", "en", "a"), (2001, "x\n\ny\nz", "en", "a"), (2002, " x\r\ny \r\n\n z", "en", "a")]
     got = line_dedup(table(rows + edge_rows)).select("row.doc_id", "kept_text", "n_lines", "n_removed").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows + edge_rows)
 

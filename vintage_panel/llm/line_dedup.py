@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACES, stored
+from .common import stored
 
 LINES = 3
 
@@ -21,22 +21,30 @@ def document_key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
 
 
+def has_word(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
 def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = LINES) -> DataFrame:
     """One row per window: key, at (place of its first line among the lines with a word), hash.
 
-    Lines are compared without white space at their ends.  The hash is an md5 over all
-    of a window's lines, so unequal windows do not meet.
+    Lines are compared without carriage returns and without spaces at their ends.  The hash
+    is an md5 over all of a window's lines, so unequal windows do not meet.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(
-        F.transform(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(SPACES))), lambda x: x != ""
-    )
-    starts = F.expr(f"if(size(lines) >= {k}, sequence(0, size(lines) - {k}), cast(array() as array<int>))")
+    text = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("\r"), F.lit(""))
+    lines = F.transform(F.filter(F.split(text, "\n", -1), has_word), lambda x: F.trim(x))
+
+    def windows(x: Column) -> Column:
+        starts = F.when(F.size(x) >= k, F.sequence(F.lit(0), F.size(x) - k)).otherwise(
+            F.array().cast("array<int>")
+        )
+        hashed = lambda p: F.unhex(F.md5(F.array_join(F.slice(x, p + 1, k), "\n")))
+        return F.transform(starts, lambda p: F.struct(p.alias("at"), hashed(p).alias("hash")))
+
+    # the lines are bound to a name, or else they would be made anew for every window
+    bound = F.element_at(F.transform(F.array(lines), windows), 1)
     return (
-        docs.select(document_key(id_col, text_col).alias("key"), lines.alias("lines"))
-        .withColumn("w", F.transform(starts, lambda p: F.struct(
-            p.alias("at"), F.unhex(F.md5(F.array_join(F.slice("lines", p + 1, k), "\n"))).alias("hash"))))
-        .select("key", F.explode("w").alias("w"))
+        docs.select(document_key(id_col, text_col).alias("key"), F.explode(bound).alias("w"))
         .select("key", "w.at", "w.hash")
     )
 
@@ -82,17 +90,27 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         document_key(id_col, text_col).alias("key"),
     )
     joined = packed.join(covered, "key", "left")  # keys are structs: NULL ids in them meet
-    lines = F.filter(
-        F.expr("transform(split(t, '\n', -1), (x, i) -> struct(x as line, i as i))"),
-        lambda x: F.trim(x["line"], F.lit(SPACES)) != "",
-    )
-    kept = F.expr(
-        "transform(array(split(t, '\n', -1)), all -> array_join(transform(array_except("
-        "sequence(0, size(all) - 1), transform(covered, p -> full[p].i)), i -> all[i]), '\n'))[0]"
-    )
-    return joined.withColumn("full", lines).select(
+
+    def counted(x: Column) -> Column:
+        """Number of lines with a word, and the text without the covered ones."""
+        numbered = F.filter(
+            F.transform(x, lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
+            lambda l: has_word(l["line"]),
+        )
+
+        def kept(full: Column) -> Column:
+            gone = F.transform("covered", lambda p: F.get(full, p)["i"])
+            left = F.array_except(F.sequence(F.lit(0), F.size(x) - 1), gone)
+            text = F.array_join(F.transform(left, lambda i: F.get(x, i)), "\n")
+            return F.struct(F.size(full).alias("n"), F.when(F.col("covered").isNotNull(), text).alias("text"))
+
+        return F.element_at(F.transform(F.array(numbered), kept), 1)
+
+    # names are bound by transform() over one element, so that nothing is made twice
+    found = F.element_at(F.transform(F.array(F.split("t", "\n", -1)), counted), 1)
+    return joined.withColumn("found", F.when(F.col("t").isNotNull(), found)).select(
         "row",
-        F.when(F.col("covered").isNull(), F.col("t")).otherwise(kept).alias("kept_text"),
-        F.coalesce(F.size("full"), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.col("covered").isNull(), F.col("t")).otherwise(F.col("found.text")).alias("kept_text"),
+        F.coalesce("found.n", F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"),
     )

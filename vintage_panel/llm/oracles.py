@@ -118,8 +118,8 @@ with line as (
     unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i
   from documents),
 placed as (
-  select *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare,
-    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' as is_full
+  select *, trim(replace(line, chr(13), ''), ' ') as bare,
+    regexp_matches(line, '[^\x20\x09-\x0D]') as is_full
   from line),
 full_lines as (
   select doc_id, bare, row_number() over (partition by doc_id order by i) - 1 as place from placed where is_full),
