@@ -26,3 +26,21 @@ def test_families_are_found_and_others_left(docs):
 
 def test_empty(docs, empty):
     assert scan_licenses(empty, *fit_scan(docs)).collect() == []
+
+
+NOTICES = {
+    "All rights reserved.": "Proprietary",
+    "Copyright (c) 2019 Northern Press Ltd. All rights reserved.": "Proprietary",
+    "# MIT License": "MIT",
+    "License: MIT License": "MIT",
+    "Apache License 2.0": "Apache-2.0",
+    "GNU GENERAL PUBLIC LICENSE": "GPL",
+    "## BSD 3-Clause License": "BSD",
+    "Mozilla Public License Version 2.0": "MPL-2.0",
+}
+
+
+def test_bare_notices_are_found(docs, table):
+    noted = table([(5000 + i, f"some prose {i}\n{t}\nmore", "en", "a") for i, t in enumerate(NOTICES)])
+    got = {r["doc_id"]: r["families"] for r in scan_licenses(noted, *fit_scan(docs)).collect()}
+    assert {t: got[5000 + i] for i, t in enumerate(NOTICES)} == NOTICES

@@ -4,7 +4,8 @@ Paragraphs become sparse counts of hashed words and word pairs.  A multinomial l
 regression tells the licence families and an unknown class apart.  It is fitted on altered
 copies of public licence wordings and a bounded sample of the corpus as the unknown class; a
 held-out part of that sample calibrates the probability that a family must reach.  A hit
-counts when enough of a template's word triples stand in the paragraph.
+counts when enough of a template's word triples stand in the paragraph; a template of up to
+``SHORT`` words, as a bare notice or a heading, is compared by its word pairs.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ VARIANTS = 60  # altered copies of each template
 FEATURES = 1 << 15
 LEAST = 0.5  # a family's probability is never below this
 SHARE = 0.6  # of a template's word triples, for a confirmed hit
+SHORT = 5  # templates of so few words are compared by pairs and learned whole
 
 
 def tokens(text: Column) -> Column:
@@ -39,10 +41,11 @@ def _grams(words: Column) -> Column:
     return F.concat(words, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
 
 
-def _triples(words: Column) -> Column:
+def _runs(words: Column, size: int) -> Column:
+    """The distinct runs of ``size`` words; all words as one run where there are fewer."""
     at = F.expr("0")
-    starts = F.when(F.size(words) > 2, F.sequence(at, F.size(words) - 3)).otherwise(F.array(F.lit(0)))
-    return F.array_distinct(F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i + 1, 3))))
+    starts = F.when(F.size(words) >= size, F.sequence(at, F.size(words) - size)).otherwise(F.array(F.lit(0)))
+    return F.array_distinct(F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i + 1, size))))
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -66,32 +69,39 @@ def _templates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _own_triples(template: str) -> list[str]:
-    """The word triples of a template; templates are in ASCII letters."""
+def _own_runs(template: str) -> tuple[int, list[str]]:
+    """The word triples of a template, or the pairs of a short one; templates are in ASCII letters."""
     words = re.findall("[a-z0-9]+", template.lower())
-    return sorted({" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))})
+    size = 2 if len(words) <= SHORT else 3
+    return size, sorted({" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))})
 
 
 def _held(words: Column, label: float | None = None) -> Column:
-    """Largest share of a template's triples that stand in the paragraph, over a family or all."""
+    """Largest share of a template's runs that stand in the paragraph, over a family or all."""
     names = FAMILIES if label is None else [FAMILIES[int(label) - 1]]
-    own = [_own_triples(text) for name in names for text in TEMPLATES[name]]
+    own = [_own_runs(text) for name in names for text in TEMPLATES[name]]
 
     def largest(mine: Column) -> Column:
         shares = [
-            F.size(F.array_intersect(mine, F.array(*[F.lit(x) for x in t]))) / F.lit(float(len(t))) for t in own
+            F.size(F.array_intersect(mine[f"of{size}"], F.array(*[F.lit(x) for x in t]))) / F.lit(float(len(t)))
+            for size, t in own
         ]
         return F.greatest(*shares, F.lit(0.0))
 
-    # the paragraph's triples are made once, not once per template
-    return F.element_at(F.transform(F.array(_triples(words)), largest), 1)
+    # the paragraph's runs are made once, not once per template
+    mine = F.struct(_runs(words, 2).alias("of2"), _runs(words, 3).alias("of3"))
+    return F.element_at(F.transform(F.array(mine), largest), 1)
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(label, words, draw): templates with words left out, and sampled paragraphs as unknown."""
+    """(label, words, draw): templates with words left out, and sampled paragraphs as unknown.
+
+    Short templates stay whole: what is left of them would be a word or two of any text.
+    """
     kept = F.filter(
         F.col("words"),
-        lambda w, i: (F.pmod(F.xxhash64(w, i, F.col("variant")), F.lit(100)) >= F.col("variant") % 12),
+        lambda w, i: (F.size("words") <= SHORT)
+        | (F.pmod(F.xxhash64(w, i, F.col("variant")), F.lit(100)) >= F.col("variant") % 12),
     )
     known = (
         _templates(docs)
