@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from vintage_panel.llm.license_texts import TEMPLATES
@@ -44,3 +46,16 @@ def test_bare_notices_are_found(docs, table):
     noted = table([(5000 + i, f"some prose {i}\n{t}\nmore", "en", "a") for i, t in enumerate(NOTICES)])
     got = {r["doc_id"]: r["families"] for r in scan_licenses(noted, *fit_scan(docs)).collect()}
     assert {t: got[5000 + i] for i, t in enumerate(NOTICES)} == NOTICES
+
+
+def test_wrapped_templates_are_found(docs, table):
+    cases = [(name, t) for name, ts in TEMPLATES.items() for t in ts if len(t) > 72]
+    rows = [(6000 + i, "int main of prose\n" + "\n".join(f" * {x}" for x in textwrap.wrap(t, 72)) + f"\nsome code {i}", "en", "a")
+            for i, (_, t) in enumerate(cases)]
+    # wrapped texts stand in the corpus that the scan learns from
+    corpus = docs.unionByName(table(rows))
+    got = {r["doc_id"]: r for r in scan_licenses(corpus, *fit_scan(corpus)).collect()}
+    found = [got[6000 + i] for i in range(len(cases))]
+    assert [r["families"] for r in found] == [name for name, _ in cases]
+    assert [r["n_paragraphs"] for r in found] == [2 + len(textwrap.wrap(t, 72)) for _, t in cases]
+    assert all(0 < r["n_licensed"] <= r["n_paragraphs"] - 2 for r in found)

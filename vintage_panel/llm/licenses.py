@@ -6,10 +6,15 @@ copies of public licence wordings and a bounded sample of the corpus as the unkn
 held-out part of that sample calibrates the probability that a family must reach.  A hit
 counts when enough of a template's word triples stand in the paragraph; a template of up to
 ``SHORT`` words, as a bare notice or a heading, is compared by its word pairs.
+
+A paragraph is a line.  Notices wrapped over several lines are looked for too: words of a
+document that stand close enough together and hold enough of a template are classified and
+confirmed like a paragraph, from the first word in common to the last.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -27,6 +32,7 @@ VARIANTS = 60  # altered copies of each template
 FEATURES = 1 << 15
 LEAST = 0.5  # a family's probability is never below this
 SHARE = 0.6  # of a template's word triples, for a confirmed hit
+SPREAD = 1.5  # a wrapped notice spans at most so many times its template's words
 SHORT = 5  # templates of so few words are compared by pairs and learned whole
 
 
@@ -48,10 +54,12 @@ def _runs(words: Column, size: int) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i + 1, size))))
 
 
-def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def paragraphs(docs: DataFrame, id_col: str, text_col: str, wrapped: bool = False) -> DataFrame:
     """One row per line that holds a word, and one without a paragraph where there is none.
 
-    ``row`` numbers the rows of ``docs``, so rows that repeat an id stay apart.
+    ``row`` numbers the rows of ``docs``, so rows that repeat an id stay apart.  ``first`` and
+    ``last`` are the line's place.  ``wrapped`` adds a row per run of words over several lines
+    that holds enough of a template, with that template's ``family`` (NULL for lines).
     """
     lines = F.filter(
         F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), tokens), lambda w: F.size(w) > 0
@@ -59,7 +67,61 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), lines.alias("lines")
     )
-    return numbered.select("row", "doc_id", F.explode_outer("lines").alias("words"))
+    found = F.expr(
+        "transform(lines, (w, i) -> "
+        "named_struct('words', w, 'first', i, 'last', i, 'family', cast(null as double)))"
+    )
+    if wrapped:
+        numbered = numbered.withColumn("flat", F.flatten("lines")).withColumn("shared", F.expr(_shared_runs()))
+        found = F.when(F.size("shared") > 0, F.concat(found, F.expr(_wrapped()))).otherwise(found)
+    return numbered.select("row", "doc_id", F.explode_outer(found).alias("p")).select("row", "doc_id", "p.*")
+
+
+def _shared_runs() -> str:
+    """SQL: where a template's pair or triple starts in ``flat``, and which, if a document has several lines."""
+    own = {size: sorted({g for ts in TEMPLATES.values() for t in ts for s, gs in [_own_runs(t)] if s == size for g in gs})
+           for size in (2, 3)}
+    among = {size: ", ".join(f"'{g}'" for g in gs) for size, gs in own.items()}
+
+    def starts(size: int) -> str:
+        text = "concat_ws(' ', " + ", ".join(["x", *(f"get(flat, i + {k})" for k in range(1, size))]) + ")"
+        marked = f"transform(flat, (x, i) -> if({text} in ({among[size]}), named_struct('at', i, 'g', {text}), null))"
+        return f"filter({marked}, m -> m is not null)"
+
+    none = "cast(array() as array<struct<at: int, g: string>>)"
+    return f"if(size(lines) > 1, array_sort(concat({starts(2)}, {starts(3)})), {none})"
+
+
+def _wrapped() -> str:
+    """SQL: runs of words over several lines that hold enough of a template's pairs or triples."""
+    known = ", ".join(
+        f"named_struct('family', {i + 1}D, 'size', {size}, 'span', {math.ceil(SPREAD * len(re.findall('[a-z0-9]+', t.lower())))}, "
+        f"'least', {math.ceil(SHARE * len(gs) - 1e-9)}, 'g', array({', '.join(repr(g) for g in gs)}))"
+        for i, name in enumerate(FAMILIES) for t in TEMPLATES[name] for size, gs in [_own_runs(t)]
+    )
+    # what the document has of a template; then from each of it, what follows within the span
+    mine = "filter(shared, x -> array_contains(t.g, x.g))"
+    near = "filter(slice(m, i + 1, t.span), y -> y.at < x.at + t.span)"
+    ends = (
+        f"filter(transform(m, (x, i) -> transform(array({near}), n -> named_struct('from', x.at, "
+        "'upto', element_at(n, -1).at + t.size, 'held', size(array_distinct(transform(n, y -> y.g)))))[0]), "
+        "e -> e.held >= t.least)"
+    )
+    # the first of those that overlap
+    apart = (
+        "aggregate(e, named_struct('upto', 0, 'kept', cast(array() as array<struct<from: int, upto: int>>)), "
+        "(a, x) -> if(x.from >= a.upto, named_struct('upto', x.upto, 'kept', "
+        "concat(a.kept, array(named_struct('from', x.from, 'upto', x.upto)))), a), a -> a.kept)"
+    )
+    per_template = (
+        f"transform(filter(transform(array({known}), t -> named_struct('t', t, 'm', {mine})), "
+        "u -> size(u.m) >= u.t.least), u -> transform(array(u.t), t -> transform(array(u.m), m -> "
+        f"transform(array({ends}), e -> transform({apart}, k -> named_struct('words', "
+        "slice(flat, k.from + 1, k.upto - k.from), 'first', line_of[k.from], 'last', line_of[k.upto - 1], "
+        "'family', t.family)))[0])[0])[0])"
+    )
+    line_of = "flatten(transform(lines, (w, i) -> array_repeat(i, size(w))))"
+    return f"transform(array({line_of}), line_of -> filter(flatten({per_template}), r -> r.first < r.last))[0]"
 
 
 def _templates(docs: DataFrame) -> DataFrame:
@@ -93,6 +155,13 @@ def _held(words: Column, label: float | None = None) -> Column:
     return F.element_at(F.transform(F.array(mine), largest), 1)
 
 
+def _lent(words: Column) -> Column:
+    """Share of the paragraph's word triples that stand in any template."""
+    lent = sorted({g for ts in TEMPLATES.values() for t in ts for size, gs in [_own_runs(t)] if size == 3 for g in gs})
+    return F.element_at(F.transform(F.array(_runs(words, 3)), lambda mine: (
+        F.size(F.filter(mine, lambda g: g.isin(lent))) / F.size(mine))), 1)
+
+
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(label, words, draw): templates with words left out, and sampled paragraphs as unknown.
 
@@ -116,7 +185,8 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sample = lines.select("words", draw.alias("draw")).filter(
         F.pmod(draw, F.lit(1 << 31)) < F.lit(min(1.0, SAMPLE / n) * (1 << 31))
     )
-    unknown = sample.distinct().filter(_held(F.col("words")) < 0.3)
+    # a line of a wrapped notice holds little of the template, yet little else
+    unknown = sample.distinct().filter((_held(F.col("words")) < 0.3) & (_lent(F.col("words")) < 0.5))
     return known.unionByName(unknown.select(F.lit(UNKNOWN).alias("label"), "words", "draw"))
 
 
@@ -141,14 +211,16 @@ def scan_licenses(
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_paragraphs, n_licensed, families, best_probability.
 
-    Paragraphs are lines with a letter or digit; every one is classified.  ``families`` lists
+    Paragraphs are lines with a letter or digit; every one is classified, and so are runs of
+    words over several lines that hold enough of a template.  n_licensed counts the lines that
+    are confirmed or take part in a confirmed run.  ``families`` lists
     the confirmed ones, sorted, joined by commas; it is empty and best_probability NULL where
     there is none, as for NULL and empty texts.  Repeated rows get the same result each; an
     empty table gives no rows; other columns are not read.
     """
-    rows = paragraphs(docs, id_col, text_col)
+    rows = paragraphs(docs, id_col, text_col, wrapped=True)
     scored = model.transform(
-        _vectors(rows.withColumn("full", F.col("words").isNotNull()).withColumn(
+        _vectors(rows.withColumn("full", F.col("words").isNotNull() & F.col("family").isNull()).withColumn(
             "words", F.coalesce("words", F.array().cast("array<string>"))))
     )
     probability = F.element_at(vector_to_array("probability"), (F.col("prediction") + 1).cast("int"))
@@ -157,15 +229,16 @@ def scan_licenses(
         of_family = (F.col("prediction") == i + 1.0) & (F.col("p") >= least)
         confirmed = F.when(of_family, _held(F.col("words"), i + 1) >= SHARE).otherwise(confirmed)
     names = F.array(*[F.lit(n) for n in FAMILIES])
-    hits = scored.select("row", "doc_id", "full", "words", "prediction", probability.alias("p")).withColumn(
-        "hit", F.col("full") & confirmed
-    )
+    hits = scored.select(
+        "row", "doc_id", "full", "first", "last", "words", "prediction", probability.alias("p")
+    ).withColumn("hit", F.col("first").isNotNull() & confirmed)
     named = F.when(F.col("hit"), F.element_at(names, F.col("prediction").cast("int")))
+    licensed = F.collect_set(F.when(F.col("hit"), F.sequence("first", "last")))
     return (
         hits.groupBy("row", "doc_id")
         .agg(
             F.count_if("full").alias("n_paragraphs"),
-            F.count_if("hit").alias("n_licensed"),
+            F.size(F.array_distinct(F.flatten(licensed))).cast("long").alias("n_licensed"),
             F.array_join(F.array_sort(F.collect_set(named)), ",").alias("families"),
             F.max(F.when(F.col("hit"), F.col("p"))).alias("best_probability"),
         )
