@@ -16,8 +16,9 @@ from vintage_panel.llm.near_dedup import near_dedup
 from vintage_panel.llm.sentencepiece_codec import encode, read_model
 from vintage_panel.llm.settings import PIECES
 
-#: documents below this score are in no language that the model knows
-LEAST_SCORE = 0.35
+#: documents that consist of less of what was seen in their language are in none that the model
+#: knows; the score would not do, as it falls with the number of languages
+LEAST_KNOWN = 0.5
 
 
 def _columns(docs: DataFrame, **new: Column) -> list[Column]:
@@ -30,8 +31,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The model learns from the labels of ``docs`` themselves.  Texts without a letter go.
     """
-    found = language_id(docs, fit(docs))
-    kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    found = language_id(docs, fit(docs), known=True)
+    kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("known") >= LEAST_KNOWN))
     return kept.select(*_columns(docs, lang=F.col("lang_pred")))
 
 

@@ -77,11 +77,29 @@ def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
 
 class Model:
-    """Log frequencies per language of the known words and n-grams."""
+    """Log frequencies per language of the known words and n-grams.
 
-    def __init__(self, langs: list[str], tables: dict[int, dict[str, list[float]]]) -> None:
+    ``floors`` holds, per size and language, the log frequency of a piece not seen in it.
+    """
+
+    def __init__(
+        self, langs: list[str], tables: dict[int, dict[str, list[float]]], floors: dict[int, list[float]] | None = None
+    ) -> None:
         self.langs = langs
         self.tables = tables
+        self.floors = floors or {}
+
+    def _seen(self, size: int, piece: str, lang: int) -> bool:
+        found = self.tables.get(size, {}).get(piece)
+        return found is not None and (size not in self.floors or found[lang] > self.floors[size][lang])
+
+    def known(self, word: str, lang: int) -> float:
+        """1 if the word was seen in the language, else the share of its 3-grams that were."""
+        if self._seen(0, word, lang):
+            return 1.0
+        framed = f"_{word}_"
+        starts = range(len(framed) - 2)
+        return sum(self._seen(3, framed[i : i + 3], lang) for i in starts) / len(starts)
 
     def word(self, word: str) -> list[float] | None:
         """Scores of a lower-cased word by language; None if nothing of it is known."""
@@ -116,6 +134,25 @@ class Scorer:
         self.rows = np.zeros((1024, max(1, len(self.model.langs))))  # row 0: nothing known
         self.places: dict[str, int] = {}
         self.n = 1
+        self.shares: dict[tuple[str, int], float] = {}
+
+    def known(self, text: str | None, lang: str) -> float:
+        """How far a text consists of what was seen in a language: the mean of its words, 0 to 1.
+
+        It does not depend on the number of languages.
+        """
+        words = LETTERS.findall((text or "").lower())
+        if not words or lang not in self.model.langs:
+            return 0.0
+        if len(self.shares) > KEPT_WORDS:
+            self.shares = {}
+        at, total = self.model.langs.index(lang), 0.0
+        for word in words:
+            share = self.shares.get((word, at))
+            if share is None:
+                share = self.shares[word, at] = self.model.known(word, at)
+            total += share
+        return total / len(words)
 
     def _learn(self, words: set[str]) -> None:
         if self.n + len(words) > len(self.rows):
@@ -175,14 +212,18 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by: str
         tables[size][row["piece"]] = [
             math.log((seen.get(x, 0) + SMOOTH) / (totals[size, x] + SMOOTH * sizes[size])) for x in langs
         ]
-    return Model(langs, tables)
+    floors = {s: [math.log(SMOOTH / (totals[s, x] + SMOOTH * n)) for x in langs] for s, n in sizes.items()}
+    return Model(langs, tables, floors)
 
 
 def language_id(
-    docs: DataFrame, model: Model, text_col: str = "text"
+    docs: DataFrame, model: Model, text_col: str = "text", known: bool = False
 ) -> DataFrame:
     """``docs`` in a struct ``row``, with lang_pred and score (0 to 1).
 
+    The score falls with the number of languages that come near.  ``known`` adds a column of
+    that name: how far the text consists of words and 3-grams seen in lang_pred (0 to 1).
+
     Only the text is looked at, all of it.  ``und`` with score 0 where the text is NULL or has
     no letter, or where the model learned nothing.  Letters that the model has never seen give
     the first language with an even score, as do ties.  Repeated rows get the same result.
@@ -193,9 +234,13 @@ def language_id(
     def mapped(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = Scorer(shared.value)
         for batch in texts:
-            yield pd.DataFrame([score(t) for t in batch], columns=["lang_pred", "score"])
+            found = pd.DataFrame([score(t) for t in batch], columns=["lang_pred", "score"])
+            if known:
+                found["known"] = [score.known(t, x) for t, x in zip(batch, found["lang_pred"], strict=True)]
+            yield found
 
-    predicted = F.pandas_udf(mapped, "lang_pred string, score double")
+    columns = ["lang_pred string", "score double", *["known double"] * known]
+    predicted = F.pandas_udf(mapped, ", ".join(columns))
     return docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), predicted(F.col(text_col)).alias("found")
-    ).select("row", "found.lang_pred", "found.score")
+    ).select("row", "found.*")
