@@ -141,3 +141,48 @@ from kept group by doc_id
 """
 
 ORACLES["op4_line_dedup"] = LINES
+
+AUDIT = rf"""
+with texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, {WORDS} as w from documents),
+marks as (
+  select doc_id, max((quality is not distinct from 1)::int) as good, max((toxic is not distinct from 1)::int) as toxic
+  from labels where doc_id is not null group by doc_id),
+fails as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) over (partition by t), false)] as f
+  from texts left join marks using (doc_id)),
+groups as (select part, f, count(*) as n, sum(good) as good, sum(toxic) as toxic from fails group by part, f),
+letters as (select unnest(range(1, 6)) as k),
+orders as (
+  select [a.k, b.k, c.k, d.k, e.k] as o
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+steps as (
+  select o, list_aggregate(list_transform(o, lambda x: substr('ABCDE', x, 1)), 'string_agg', '') as filter_order,
+    unnest(range(1, 6)) as step from orders),
+found as (
+  select part, filter_order, step, o[step] as k, n, good, toxic, f[o[step]] as fails,
+    list_bool_or(list_transform(o[1:step - 1], lambda x: f[x])) as gone,
+    list_sum(list_transform(f, lambda x: x::int)) = 1 as alone
+  from steps, groups),
+counts as (
+  select part, filter_order, step, k,
+    sum(n) filter (not fails and not coalesce(gone, false)) as kept,
+    sum(n) filter (fails and not coalesce(gone, false)) as removed,
+    sum(n) filter (fails and gone) as redundant,
+    sum(n) filter (fails and alone) as unique_fails,
+    sum(good) filter (fails and not coalesce(gone, false)) as good_lost,
+    sum(toxic) filter (fails and not coalesce(gone, false)) as toxic_lost
+  from found group by all)
+select part, filter_order, cast(step as int) as step,
+  cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed,
+  cast(coalesce(redundant, 0) as bigint) as redundant, cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+  cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+  cast(sum(coalesce(removed, 0)) over (partition by part, k) as bigint) as shapley
+from counts
+"""
+
+ORACLES["op11_filter_audit"] = AUDIT

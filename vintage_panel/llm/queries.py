@@ -10,6 +10,7 @@ import corpus_pipeline
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .filter_audit import filter_audit
 from .language_id import fit, language_id
 from .licenses import fit_scan, scan_licenses
 from .line_dedup import line_dedup
@@ -82,6 +83,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_language_id,
         op10_quality,
+        op11_filter_audit,
         pipeline,
     )
 }
