@@ -186,3 +186,93 @@ from counts
 """
 
 ORACLES["op11_filter_audit"] = AUDIT
+
+
+def _edited(text: str, cost: str, letter: str) -> str:
+    """A path, cost in nine digits and then its letters, one edit further; NULL stays NULL."""
+    return f"lpad(cast(cast(left({text}, 9) as int) + {cost} as varchar), 9, '0') || substr({text}, 10) || '{letter}'"
+
+
+_FROM_ANY = "least(s0, s1, s3)"  # the states that a user's turn may follow
+_STAYS = "case when o.fault < 2 then {} end"
+_EXTRA = "5 * o.fault"
+
+REPAIR = rf"""
+with recursive bits as (
+  select list_transform(range(256), lambda c:
+    list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b:
+      case when a & 1 = 1 then xor(3988292384, a >> 1) else a >> 1 end)) as tab),
+given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key
+  from conversations),
+dealt as (
+  select conv_id, turn, role, text, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(key, ''), lambda x: cast(ascii(x) as bigint))),
+      lambda a, b: xor(tab[(xor(a, b) & 255) + 1], a >> 8))) % 20 as k
+  from given, bits),
+damaged as (
+  select conv_id, turn, case when k = 4 then 'user' else role end as role,
+    case k when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(range(case when k = 3 then 2 else 1 end)) as copy
+  from dealt where k <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare
+  from damaged),
+judged as (
+  select *, left(role, 1) as ini, bare = '' as is_blank,
+    bare <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as is_dup,
+    coalesce(lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) not in ('su', 'ua', 'au'), false) as is_illegal
+  from placed),
+coded as (
+  select *, not is_blank and not is_dup and right(bare, 1) not in ('.', '!', '?') as is_cut,
+    case when is_blank or is_dup then 2 when right(bare, 1) in ('.', '!', '?') then 0 else 1 end as fault
+  from judged),
+convs as (
+  select g.conv_id, coalesce(len(ops), 0) as n, ops, gaps, blank, dup, cut, illegal
+  from (select distinct conv_id from conversations) g left join (
+    select conv_id, list({{'ini': ini, 'fault': fault}} order by i) as ops,
+      coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, sum(is_blank::int) as blank,
+      sum(is_dup::int) as dup, sum(is_cut::int) as cut, sum(is_illegal::int) as illegal
+    from coded group by conv_id) c on g.conv_id is not distinct from c.conv_id),
+paths as (
+  select conv_id, n, ops, 0 as i, {_edited("'000000000'", "0", "")} as s0, cast(null as varchar) as s1,
+    {_edited("'000000000'", "5", "I")} as s2, {_edited("'000000000'", "10", "II")} as s3
+  from convs
+  union all
+  select conv_id, n, ops, i, s0, s1, s2, least(s3, {_edited("s2", "5", "I")}) from (
+    select conv_id, n, ops, i, s0, s1, least(s2, {_edited("least(s0, s1, s3)", "5", "I")}) as s2, s3 from (
+      select conv_id, n, ops, i + 1 as i, {_edited("s0", "2", "D")} as s0,
+        least({_edited("s1", "2", "D")}, {_STAYS.format("case when o.ini = 's' then " + _edited("s0", _EXTRA, "K") + " end")}) as s1,
+        least({_edited("s2", "2", "D")}, {_STAYS.format(_edited(_FROM_ANY, "1 + " + _EXTRA, "R"))},
+          {_STAYS.format("case when o.ini = 'u' then " + _edited(_FROM_ANY, _EXTRA, "K") + " end")}) as s2,
+        least({_edited("s3", "2", "D")}, {_STAYS.format(_edited("s2", "1 + " + _EXTRA, "R"))},
+          {_STAYS.format("case when o.ini = 'a' then " + _edited("s2", _EXTRA, "K") + " end")}) as s3
+      from (select *, ops[i + 1] as o from paths where i < n)))),
+best as (
+  select conv_id, cast(left(least(s0, s3), 9) as bigint) as cost, substr(least(s0, s3), 10) as audit
+  from paths where i = n),
+letters as (
+  select conv_id, unnest(range(1, length(audit) + 1)) as p, unnest(string_split(audit, '')) as l
+  from best where audit <> ''),
+edits as (
+  select *, sum((l <> 'I')::int) over w as i, sum((l <> 'D')::int) over w as e
+  from letters window w as (partition by conv_id order by p)),
+told as (
+  select e.conv_id, p, l, e, c.role, c.text,
+    max((l = 'K' and c.ini = 's')::int) over (partition by e.conv_id) as system_first
+  from edits e left join coded c on e.conv_id is not distinct from c.conv_id and e.i = c.i and l <> 'I'),
+hashed as (
+  select conv_id, sha256(string_agg(
+    case when l = 'K' then role when (e - system_first) % 2 = 1 then 'user' else 'assistant' end
+      || ':' || case when l = 'I' then '' else text end, chr(10) order by p)) as sha
+  from told where l <> 'D' group by conv_id)
+select c.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank,
+  cast(coalesce(dup, 0) as bigint) as duplicate, cast(coalesce(cut, 0) as bigint) as truncated,
+  cast(coalesce(illegal, 0) as bigint) as illegal, cost, audit, coalesce(sha, sha256('')) as repaired_sha256
+from convs c join best b on c.conv_id is not distinct from b.conv_id
+left join hashed h on c.conv_id is not distinct from h.conv_id
+"""
+
+ORACLES["op12_conversation_repair"] = REPAIR

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 
 from .common import documents
+from .conversations import damage, repair
 from .exact_dedup import exact_dedup
 from .filter_audit import filter_audit
 from .language_id import fit, language_id
@@ -87,6 +88,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair(damage(turns), turns)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_quality,
         op11_filter_audit,
+        op12_conversation_repair,
         pipeline,
     )
 }
