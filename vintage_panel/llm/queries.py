@@ -25,6 +25,7 @@ from .sentencepiece_codec import encode, read_model
 
 from .settings import PIECES
 from .suffix_dedup import suffix_dedup
+from .toxicity import score_documents
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -93,6 +94,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damage(turns), turns)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    scored = score_documents(docs, labels, held_out)
+    return scored.select("row.doc_id", "score", "predicted").withColumn("held_out", held_out)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -112,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality,
         op11_filter_audit,
         op12_conversation_repair,
+        op13_toxicity,
         pipeline,
     )
 }
