@@ -138,12 +138,16 @@ def delinquency_panel(
     opened: str = "open_date",
     days: str = "del_days",
     key: str = "acct_id",
-    suffix: int = 16,
+    suffix: int | None = 16,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Month-end snapshots with account id, MOB, DPD and DPD flags."""
+    """Month-end snapshots with account id, MOB, DPD and DPD flags.
+
+    ``suffix=None`` takes the account id as stored, in the column ``key``.
+    """
+    account = F.col(key) if suffix is None else F.right(F.col(full_key), F.lit(suffix)).alias(key)
     return month_end_only(portfolio, as_of).select(
-        F.right(F.col(full_key), F.lit(suffix)).alias(key),
+        account,
         F.col(as_of),
         F.col(opened).alias("open_date"),
         *keep,

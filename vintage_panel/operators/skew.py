@@ -17,6 +17,8 @@ ROWS_PER_TASK = 2_000_000
 
 # for tables that hold one row per key by construction
 NO_HOT_KEYS: tuple = ()
+# for tables stored in buckets of the key: the key itself is joined, so no rows move
+CO_LOCATED: tuple = ("co-located",)
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -69,10 +71,15 @@ def lookup_join(
 
     ``hot`` is what :func:`hot_keys` gives; by default it is taken from ``left``.  Pass the
     hot keys of the raw table where ``left`` is costly to compute, or :data:`NO_HOT_KEYS`
-    where it is unique by ``on``.  Rows of a hot key get a salt and the matching right rows
+    where it is unique by ``on``, :data:`CO_LOCATED` where both sides are stored in buckets of it and have
+    no hot keys.  Rows of a hot key get a salt and the matching right rows
     are copied once per salt.  Left rows without a key match nothing; they get a stand-in
     key each, under a condition that keeps it from matching.  Nothing runs here.
     """
+    if isinstance(hot, tuple) and hot == CO_LOCATED:
+        rest = [c for c in right.columns if c != on]
+        first = [on, *[c for c in left.columns if c != on]]
+        return left.join(right, on, "left").select(*[F.col(f"`{c}`") for c in [*first, *rest]])
     stand_in = _stand_in(left, on)
     keyed = left.withColumn("__key", F.col(on) if stand_in is None else F.coalesce(on, stand_in))
     other = right.withColumnRenamed(on, "__right")
