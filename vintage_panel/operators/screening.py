@@ -6,17 +6,18 @@ column or per pair of columns, never rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import codes
+from .comoments import pair_moments
 
-# tasks that sum up products of columns; each hands on one matrix, whatever the input's size
-MOMENT_TASKS = 2000
-# a variance below this share of the mean square is rounding noise of a constant
+# a sum of squares below this share of the one it was centred out of is rounding noise of a constant
 NOISE = 1e-12
+# and so is a variance below this share of the squared mean
+RESOLUTION = 1e-28
 
 
 def is_numeric(dtype: T.DataType) -> bool:
@@ -204,58 +205,18 @@ def _finite(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-_MOMENTS = "i int, n array<double>, sx array<double>, sy array<double>, sxx array<double>, syy array<double>, sxy array<double>"
-
-
-def _block_moments(p: int):
-    """Sums over pairs of columns for one partition, as products of Arrow-batch matrices."""
-
-    def run(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        n, a, b, c = (np.zeros((p, p)) for _ in range(4))
-        for batch in batches:
-            x = np.column_stack(
-                [batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in range(p)]
-            )
-            known = (~np.isnan(x)).astype(float)
-            x = np.where(known > 0, x, 0.0)
-            n += known.T @ known
-            a += x.T @ known
-            b += (x * x).T @ known
-            c += x.T @ x
-        rows = [list(m) for m in (n, a, a.T, b, b.T, c)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(p), pa.int32())]
-            + [pa.array([list(r) for r in m], pa.list_(pa.float64())) for m in rows],
-            names=["i", "n", "sx", "sy", "sxx", "syy", "sxy"],
-        )
-
-    return run
+def _pair_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, j, corr) of all pairs of columns, NULL where one does not vary."""
+    sums = pair_moments(df.select(*[_finite(df, c).alias(f"c{k}") for k, c in enumerate(cols)]))
+    n = F.col("n")
 
+    def varies(s: str, q: str, mean: str) -> Column:
+        # a constant column (where the other is known) has no correlation, only rounding noise
+        return F.col(s) > F.greatest(F.col(q) * NOISE, n * F.col(mean) * F.col(mean) * RESOLUTION)
 
-def _pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs in two passes: means, then centred cross products, one matrix a task."""
-    means = df.agg(*[F.avg(_finite(df, c)).alias(c) for c in cols]).first()
-    centred = df.select(
-        *[(_finite(df, c) - F.lit(float(means[c] or 0.0))).alias(c) for c in cols]
-    )
-    parts = centred.coalesce(MOMENT_TASKS).mapInArrow(_block_moments(len(cols)), _MOMENTS)
-    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-    sums = (
-        parts.select("i", F.posexplode(F.arrays_zip(*names)).alias("j", "m"))
-        .filter(F.col("j") > F.col("i"))
-        .groupBy("i", "j")
-        .agg(*[F.sum(f"m.{s}").alias(s) for s in names])
-    )
-    n = F.col("n")
-    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
-    vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
-    # a constant column (where the other is known) has no correlation, only rounding noise
-    spread = (n > 1) & (vx > F.col("sxx") * NOISE) & (vy > F.col("syy") * NOISE)
-    return sums.select("i", "j", F.when(spread, F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy))).alias("corr"))
+    spread = (n > 1) & varies("sxx", "qx", "mx") & varies("syy", "qy", "my")
+    corr = F.try_divide(F.col("sxy"), F.sqrt("sxx") * F.sqrt("syy"))
+    return sums.select("i", "j", F.when(spread, corr).alias("corr"))
 
 
 def correlation_pairs(
@@ -263,14 +224,14 @@ def correlation_pairs(
 ) -> DataFrame:
     """Pearson correlation of pairs of numeric columns over rows where both are known.
 
-    With ``above``, only the pairs whose correlation exceeds it in size.  Two scans whatever
-    the number of columns: matrix products inside tasks, summed over tasks.
+    With ``above``, only the pairs whose correlation exceeds it in size.  One scan whatever the
+    number of columns (see ``comoments``).  Pairs that meet an infinity have none.
     """
     cols = numeric_columns(df) if cols is None else list(cols)
     if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "left string, right string, corr double")
     names = F.array(*[F.lit(c) for c in cols])
-    pairs = _pair_moments(df, cols).select(
+    pairs = _pair_correlations(df, cols).select(
         F.get(names, F.col("i")).alias("left"),
         F.get(names, F.col("j")).alias("right"),
         F.when(~F.isnan("corr"), F.col("corr")).alias("corr"),
