@@ -20,10 +20,11 @@ TILE = 64  # columns
 FAN_IN = 1024  # tasks whose tiles meet in the first round
 HELD = 256 << 20
 
-# per pair (x, y) over the rows where both are known; q: sums of squares about the batch medians,
+# per pair (x, y) over the rows where both are known.  A mean is a value of the column (a) plus a small
+# offset (m), so that means far from 0 lose no digits.  q: sums of squares about the batch medians,
 # which bound the rounding of what is centred out of them
-SUMS = ("n", "mx", "my", "sxx", "syy", "sxy", "qx", "qy")
-_N, _MX, _MY, _SXX, _SYY, _SXY, _QX, _QY = range(len(SUMS))
+SUMS = ("n", "ax", "ay", "mx", "my", "sxx", "syy", "sxy", "qx", "qy")
+_N, _AX, _AY, _MX, _MY, _SXX, _SYY, _SXY, _QX, _QY = range(len(SUMS))
 _DDL = "i int, b int, part int, " + ", ".join(f"{s} array<double>" for s in SUMS)
 _SCHEMA = pa.schema(
     [("i", pa.int32()), ("b", pa.int32()), ("part", pa.int32()), *((s, pa.list_(pa.float64())) for s in SUMS)]
@@ -34,14 +35,17 @@ def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Moments of two sets of rows together; the first axis runs over SUMS."""
     n = a[_N] + b[_N]
     whole = np.where(n > 0, n, 1.0)
-    dx = np.where((a[_N] > 0) & (b[_N] > 0), b[_MX] - a[_MX], 0.0)
-    dy = np.where((a[_N] > 0) & (b[_N] > 0), b[_MY] - a[_MY], 0.0)
+    first, both = a[_N] > 0, (a[_N] > 0) & (b[_N] > 0)
+    dx = np.where(both, (b[_AX] - a[_AX]) + (b[_MX] - a[_MX]), 0.0)
+    dy = np.where(both, (b[_AY] - a[_AY]) + (b[_MY] - a[_MY]), 0.0)
     weight, share = a[_N] * b[_N] / whole, b[_N] / whole
     return np.stack(
         [
             n,
-            np.where(a[_N] > 0, a[_MX] + dx * share, b[_MX]),
-            np.where(a[_N] > 0, a[_MY] + dy * share, b[_MY]),
+            np.where(first, a[_AX], b[_AX]),
+            np.where(first, a[_AY], b[_AY]),
+            np.where(first, a[_MX] + dx * share, b[_MX]),
+            np.where(first, a[_MY] + dy * share, b[_MY]),
             a[_SXX] + b[_SXX] + dx * dx * weight,
             a[_SYY] + b[_SYY] + dy * dy * weight,
             a[_SXY] + b[_SXY] + dx * dy * weight,
@@ -77,10 +81,10 @@ class _Columns:
         if self.infinite or other.infinite:  # pairs that meet an infinity have no correlation
             met = (self.endless.T @ other.known) + (self.known.T @ other.endless) > 0
             qx = np.where(met, np.inf, qx)
-        mx, my = self.pivot[:, None] + sx / rows, other.pivot[None, :] + sy / rows
+        ax, ay = np.broadcast_arrays(self.pivot[:, None], other.pivot[None, :])
         sxx = np.maximum(np.where(np.isinf(qx), 0.0, qx) - sx * sx / rows, 0.0)
         syy = np.maximum(qy - sy * sy / rows, 0.0)
-        return np.stack([n, mx, my, sxx, syy, sxy - sx * sy / rows, qx, qy])
+        return np.stack([n, ax, ay, sx / rows, sy / rows, sxx, syy, sxy - sx * sy / rows, qx, qy])
 
 
 def _emitted(a: int, b: int, part: int, sums: np.ndarray) -> pa.RecordBatch:

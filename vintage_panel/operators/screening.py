@@ -210,11 +210,12 @@ def _pair_correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     sums = pair_moments(df.select(*[_finite(df, c).alias(f"c{k}") for k, c in enumerate(cols)]))
     n = F.col("n")
 
-    def varies(s: str, q: str, mean: str) -> Column:
+    def varies(c: str) -> Column:
         # a constant column (where the other is known) has no correlation, only rounding noise
-        return F.col(s) > F.greatest(F.col(q) * NOISE, n * F.col(mean) * F.col(mean) * RESOLUTION)
+        mean = F.col(f"a{c}") + F.col(f"m{c}")
+        return F.col(f"s{c}{c}") > F.greatest(F.col(f"q{c}") * NOISE, n * mean * mean * RESOLUTION)
 
-    spread = (n > 1) & varies("sxx", "qx", "mx") & varies("syy", "qy", "my")
+    spread = (n > 1) & varies("x") & varies("y")
     corr = F.try_divide(F.col("sxy"), F.sqrt("sxx") * F.sqrt("syy"))
     return sums.select("i", "j", F.when(spread, corr).alias("corr"))
 
