@@ -46,7 +46,7 @@ def test_exact_median(spark, xs):
     ranked = sorted(xs)
     ends = ranked[(len(xs) - 1) // 2], ranked[len(xs) // 2]
     want = ends[0] if ends[0] == ends[1] else ends[0] / 2 + ends[1] / 2
-    got = scr.exact_median(df, "x", accuracy=7)
+    got = scr.exact_median(df, "x")
     assert got == pytest.approx(want, rel=1e-12, abs=0) or (math.isnan(got) and math.isnan(want))
 
 

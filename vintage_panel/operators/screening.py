@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import codes
 from .comoments import pair_moments
+from .selection import summaries
 
 # a sum of squares below this share of the one it was centred out of is rounding noise of a constant
 NOISE = 1e-12
@@ -264,76 +265,26 @@ def correlation_prune(
 
 
 # ---------------------------------------------------------------- target summary
-def _at_rank(values: DataFrame, rank: int, n: int, accuracy: int) -> float:
-    """Value at a 0-based rank of ``n`` values in ``x``.
-
-    A quantile sketch with a rank error of ``n / accuracy`` gives two values around the rank;
-    exact counts tell where the rank lies.  Either it is one of the two, or the values
-    strictly between go into the next pass: few parts in ``accuracy`` of them, whatever
-    their distribution, so a pass always narrows, infinities and extreme doubles included.
-    """
-    x = F.col("x")
-    while True:
-        slack = 2.0 / accuracy
-        at = (rank + 0.5) / n
-        ends = F.percentile_approx("x", [max(0.0, at - slack), min(1.0, at + slack)], accuracy)
-        low, high = values.agg(ends).first()[0]
-        c = values.agg(
-            F.count_if(x < low).alias("below"),
-            F.count_if(x == low).alias("low"),
-            F.count_if((x > low) & (x < high)).alias("inside"),
-            F.count_if((x == high) & (x > low)).alias("high"),
-        ).first()
-        if rank < c["below"]:  # the sketch was off by more than it promises: go on below
-            n, values = c["below"], values.filter(x < low)
-        elif rank < c["below"] + c["low"]:
-            return low
-        elif rank < c["below"] + c["low"] + c["inside"]:
-            rank -= c["below"] + c["low"]
-            n, values = c["inside"], values.filter((x > low) & (x < high))
-        elif rank < c["below"] + c["low"] + c["inside"] + c["high"]:
-            return high
-        else:
-            rank -= c["below"] + c["low"] + c["inside"] + c["high"]
-            n -= c["below"] + c["low"] + c["inside"] + c["high"]
-            values = values.filter(x > high)
-
-
-def exact_median(df: DataFrame, col: str, accuracy: int = 10_000) -> float | None:
-    """Median without gathering the values: passes over a sketch's neighbourhood.
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """Median without gathering the values, in at most four scans (see ``selection``).
 
     ``median``/``percentile`` would build one map of all distinct values in one task.
     Infinities are ordinary values; NaN counts as missing.
     """
-    values = df.select(_finite(df, col).alias("x")).filter(F.col("x").isNotNull())
-    n = values.count()
-    if not n:
-        return None
-    rank = (n - 1) // 2
-    lower = _at_rank(values, rank, n, accuracy)
-    if n % 2:
-        return lower
-    x = F.col("x")
-    t = values.agg(F.count_if(x <= lower).alias("upto"), F.min(F.when(x > lower, x)).alias("next")).first()
-    upper = lower if t["upto"] > rank + 1 else t["next"]
-    return lower / 2 + upper / 2 if abs(lower) > 1e300 or abs(upper) > 1e300 else (lower + upper) / 2
+    return summaries(df, [_q(col)])[0].median
 
 
 def target_summary(df: DataFrame, col: str, top: int = 10) -> DataFrame:
-    """Numeric column: counts and moments.  Other column: its ``top`` values with share."""
+    """Numeric column: counts and moments, from at most four scans that run here.  Other column:
+    its ``top`` values with share.
+    """
     dtype = df.schema[col].dataType
     c = _q(col)
-    missing = F.sum(is_missing(c, dtype).cast("int")).cast("bigint")
     if is_numeric(dtype):
-        x = _finite(df, col)
-        return df.agg(
-            F.count(F.lit(1)).alias("observations"),
-            missing.alias("missing"),
-            F.avg(x).alias("mean"),
-            F.lit(exact_median(df, col)).cast("double").alias("median"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            F.max(x).alias("max"),
+        s = summaries(df, [c])[0]
+        row = (s.rows, s.rows - s.known if s.rows else None, s.mean, s.median, s.std, s.low, s.high)
+        return df.sparkSession.createDataFrame(
+            [row], "observations long, missing long, mean double, median double, std double, min double, max double"
         )
     rows = df.select(F.count(F.lit(1)).alias("n")).scalar()
     return (
