@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import codes
 from ..functions.dates import year_quarter
+from ..functions.packing import Code, Day, Field, Label, Number, Packing
 from ..functions.scalars import (
     band,
     date_band_rate,
@@ -42,6 +43,16 @@ class EnrichSpec:
         return self.application_codes + self.bureau_codes
 
 
+BEHAVIOURS = Label((*codes.BEHAVIOUR_CODES.values(), codes.BEHAVIOUR_DEFAULT))
+FLAG = Number(2)
+
+
+def report_packing(spec: EnrichSpec) -> Packing:
+    """Tags and flags of a report as bits, for the joins that carry them."""
+    tags = {f"{c}_tag": BEHAVIOURS for c in spec.patterns}
+    return Packing(tags | {f"{c}_flag": FLAG for c in spec.balances}, "__marks")
+
+
 def channel_label(c: Column) -> Column:
     return map_labels(c, codes.PANEL_CHANNELS, codes.PANEL_CHANNEL_DEFAULT)
 
@@ -78,13 +89,16 @@ def enrich_performance(
     spec: EnrichSpec = EnrichSpec(),
     *,
     hot: DataFrame | tuple | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """Performance rows of accounts entered in the window, with application and bureau
     attributes, tags, flags, test arms and score band.
 
     Applications and reports are joined first: they hold one row per application, the
-    performance table one per account and month, so it is shuffled once only.
+    performance table one per account and month, so it is shuffled once only.  Tags and flags
+    travel as bits; ``packed`` leaves them so for further joins, until :func:`unpacked`.
     """
+    packing = report_packing(spec)
     report = bureau.select(
         "report_id",
         *spec.bureau_codes,
@@ -93,6 +107,8 @@ def enrich_performance(
         *[threshold_flag(F.col(c)).alias(f"{c}_flag") for c in spec.balances],
         *[padded_int(F.col(c)).alias(c) for c in spec.counts],
     )
+    named = ["report_id", *spec.bureau_codes, *spec.patterns, *spec.counts]
+    report = report.select(*named, *packing.columns())
     application = apps.select(
         "app_id",
         "report_id",
@@ -104,21 +120,30 @@ def enrich_performance(
     )
     facts = application.join(report, "report_id", "left").drop("report_id")
     joined = lookup_join(entered(perf, spec), facts, "app_id", hot=hot)
-    tags = [f"{c}_tag" for c in spec.patterns]
-    return joined.select(
+    out = joined.select(
         *perf.columns,
         channel_label(F.col("channel")).alias("channel_label"),
         *spec.behaviour_codes,
         *spec.patterns,
-        # an application without a report has no pattern, which reads as mixed
-        *[F.coalesce(F.col(c), F.lit(codes.BEHAVIOUR_DEFAULT)).alias(c) for c in tags],
-        *[f"{c}_flag" for c in spec.balances],
+        *packing.names,
         *spec.counts,
         line_segment(F.col("__random02"), F.col("entry_date")).alias("line_segment"),
         price_segment(F.col("__random03"), F.col("entry_date")).alias("price_segment"),
         "acq_risk_tier",
         F.coalesce(F.col("__credit_band"), F.lit(codes.CREDIT_BANDS_DEFAULT)).alias("credit_band"),
     )
+    return out if packed else unpacked(out, spec)
+
+
+def unpacked(df: DataFrame, spec: EnrichSpec = EnrichSpec()) -> DataFrame:
+    """Tags and flags by name, out of the bits that :func:`enrich_performance` packed."""
+    packing = report_packing(spec)
+    # an application without a report has no pattern, which reads as mixed
+    mixed = f"coalesce({{}}, '{codes.BEHAVIOUR_DEFAULT}') as `{{}}`"
+    tags = [mixed.format(packing.key(f"{c}_tag"), f"{c}_tag") for c in spec.patterns]
+    flags = [f"{packing.key(f'{c}_flag')} as `{c}_flag`" for c in spec.balances]
+    rest = [f"`{c}`" for c in df.columns if c not in packing.names]
+    return df.selectExpr(*rest, *tags, *flags)
 
 
 def max_mob(
@@ -350,6 +375,28 @@ def panel_keys(spec: EnrichSpec = EnrichSpec()) -> dict[str, Column]:
     }
 
 
+def panel_fields(spec: EnrichSpec = EnrichSpec()) -> dict[str, Field]:
+    """How the keys of :func:`panel_keys` are packed; year, quarter and label follow from one number."""
+    bands = Label((*[b.label for b in codes.CREDIT_BANDS], codes.CREDIT_BANDS_DEFAULT))
+    arms = {c: Label(tuple(f"{arm} {c}" for arm in ("1.L", "2.H", "3.BAU"))) for c in ("Pricing", "Line")}
+    return {
+        **{f"behaviour_{c}": BEHAVIOURS for c in spec.behaviour_codes},
+        "credit_band": bands,
+        "price_segment": arms["Pricing"],
+        "line_segment": arms["Line"],
+        "acq_risk_tier": Code(),
+        "mob_indicator": Label(("Max MOB < 24", "Max MOB >= 24")),
+        "status": Code(),
+        "perf_month": Day(),
+        "channel_label": Label((*codes.PANEL_CHANNELS.values(), codes.PANEL_CHANNEL_DEFAULT)),
+        "mob": Number(16, -10_000),
+        "book_month": Day(),
+        **{f"{c}_tag": BEHAVIOURS for c in spec.patterns},
+        **{f"{c}_flag": FLAG for c in spec.balances},
+        **{c: Number(20, -1_000, "bigint") for c in spec.counts},
+    }
+
+
 def panel_measures() -> dict[str, Column]:
     """The 37 measures of the aggregate, by form."""
     has_id = F.col("account_id").isNotNull()
@@ -415,24 +462,56 @@ def panel_measures() -> dict[str, Column]:
     }
 
 
+_QUARTERS = ("year", "quarter", "year_quarter")
+_ENTERED = "__entered"  # four times the year, and the quarter from 0
+
+
+def _derived(name: str) -> Column:
+    """A key that follows from another one."""
+    entered = F.col(_ENTERED)
+    year, quarter = F.floor(entered / 4).cast("int"), (entered % 4 + 1).cast("int")
+    return {
+        "year": year,
+        "quarter": quarter,
+        "year_quarter": F.concat(year.cast("string"), F.lit("Q"), quarter.cast("string")),
+        "perf_year": F.year("perf_month"),
+    }[name]
+
+
 def behaviour_aggregate(
     panel: DataFrame,
     keys: Mapping[str, Column] | None = None,
     measures: Mapping[str, Column] | None = None,
-    order_by: Sequence[str] | None = None,
+    order_by: Sequence[str] = (),
+    *,
+    fields: Mapping[str, Field] | None = None,
 ) -> DataFrame:
-    """Sums of ``measures`` per combination of ``keys``.
+    """Sums of ``measures`` per combination of ``keys``, in the order of ``order_by`` if any.
 
-    Ordered by the first five keys, then by the others, so that a range sort has as many
-    distinct values to cut at as there are rows.
+    Without ``keys``, those of :func:`panel_keys`, grouped in packed form: ten integers and the
+    credit line instead of 53 columns, half of them texts.  ``fields`` packs keys of your own;
+    keys without a field are grouped as they are.
     """
-    keys = panel_keys() if keys is None else keys
     measures = panel_measures() if measures is None else measures
-    out = panel.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
-        *[c.alias(n) for n, c in measures.items()]
-    )
-    order = list(keys) if order_by is None else list(order_by)
-    return out.orderBy(*order) if order else out
+    sums = [c.alias(n) for n, c in measures.items()]
+    grouped, derived = dict(panel_keys() if keys is None else keys), []
+    names = list(grouped)
+    if keys is None:
+        fields = panel_fields() if fields is None else dict(fields)
+        derived = [*_QUARTERS, "perf_year"]
+        grouped = {n: c for n, c in grouped.items() if n not in derived}
+        grouped[_ENTERED] = F.year("entry_date") * 4 + F.quarter("entry_date") - 1
+        fields[_ENTERED] = Number(16)
+    packing = Packing({n: f for n, f in (fields or {}).items() if n in grouped})
+    plain = {n: c for n, c in grouped.items() if n not in packing.fields}
+    if packing.fields:
+        panel = panel.select("*", *[grouped[n].alias(f"__key_{n}") for n in packing.fields])
+        panel = panel.select("*", *packing.columns("__key_{}"))
+    out = panel.groupBy(*packing.names, *[c.alias(n) for n, c in plain.items()]).agg(*sums)
+    if packing.fields:
+        out = out.select(*packing.unfolded(), *plain, *measures)
+    out = out.select(*[_derived(n).alias(n) if n in derived else F.col(f"`{n}`") for n in names], *measures)
+    return out.orderBy(*order_by) if order_by else out
 
 
 def cohort_slices(

@@ -16,6 +16,7 @@ from ..operators.behaviour import (
     entered,
     max_mob_indicator,
     model_extract,
+    unpacked,
 )
 from ..operators.lookups import disputed_accounts, with_suffix_key
 from ..operators.panel import delinquency_panel, wide_panel
@@ -160,8 +161,8 @@ def build_panel(
     labelled = max_mob_indicator(rows, hot=hot_accounts)
     if hot_apps is None:
         hot_apps = hot_keys(rows, "app_id")
-    enriched = enrich_performance(labelled, apps, bureau, spec, hot=hot_apps)
-    return behaviour_panel(enriched, hist, txn, only=only)
+    enriched = enrich_performance(labelled, apps, bureau, spec, hot=hot_apps, packed=True)
+    return unpacked(behaviour_panel(enriched, hist, txn, only=only), spec)
 
 
 def build_behaviour(

@@ -863,11 +863,15 @@ FLOATS = [*o.SUMS_WHERE_SQL, *o.SUMS_SQL]
 COARSE_KEYS = ("year", "line_segment", "mob_indicator")
 
 
-@query("behaviour_aggregate_coarse", o.aggregate_sql(COARSE_KEYS, 2))
+# cents of sums whose terms have three decimals often end in a half, and the order of adding decides
+OFF_HALF = 1e-6
+
+
+@query("behaviour_aggregate_coarse", o.aggregate_sql(COARSE_KEYS, 2, OFF_HALF))
 def _(t):
     keys = beh.panel_keys(SPEC)
     agg = beh.behaviour_aggregate(_panel(t), {k: keys[k] for k in COARSE_KEYS})
-    return rounded(agg, 2, *FLOATS)
+    return rounded(agg.withColumns({c: F.col(c) + OFF_HALF for c in FLOATS}), 2, *FLOATS)
 
 
 @query("behaviour_aggregate", o.aggregate_sql(list(o.KEYS_SQL)))
