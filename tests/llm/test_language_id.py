@@ -44,3 +44,28 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "lang")
     got = op9_language_id(spark, str(ROOT)).join(truth, "doc_id").filter("held_out")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.98
+
+
+HINDI = "यह नदी के किनारे बसा हुआ एक पुराना शहर है और यहाँ के लोग खेती करते हैं पहाड़ों में बर्फ़ गिरती है".split()
+MARATHI = "ही नदीच्या काठी वसलेली जुनी वस्ती आहे आणि इथले लोक शेती करतात डोंगरांत पाऊस पडतो तेव्हा फुले येतात".split()
+
+
+def test_scripts_with_combining_marks(spark):
+    rng = random.Random(2)
+    rows = [
+        (2 * i + k, " ".join(rng.choice(words) for _ in range(40)), lang)
+        for i in range(100) for k, (lang, words) in enumerate((("hi", HINDI), ("mr", MARATHI)))
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(docs)
+    assert set(HINDI) | set(MARATHI) <= set(model.tables[0])  # whole words, not pieces between marks
+    found = language_id(docs, model, known=True).collect()
+    assert all(r["lang_pred"] == r["row"]["lang"] and r["known"] == 1 for r in found)
+    odd = spark.createDataFrame([(1, "½ ²"), (2, "́ 12 _"), (3, "Ⅷ")], "doc_id long, text string")
+    assert {r["lang_pred"] for r in language_id(odd, model).collect()} == {"und"}
+
+
+def test_a_filter_does_not_score_twice(spark):
+    docs = spark.createDataFrame([(1, "the land", "en")], "doc_id long, text string, lang string")
+    kept = language_id(docs, fit(docs), known=True).filter("lang_pred <> 'und' and known >= 0.5").select("row.text", "lang_pred")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1

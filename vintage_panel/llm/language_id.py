@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,8 +30,19 @@ SMOOTH = 0.5
 UNDETERMINED = "und"
 KEPT_WORDS = 150_000  # scores of words that a task remembers at a time
 
-LETTERS = re.compile(r"[^\W\d_]+")
-JAVA_LETTERS = r"[^\p{L}\p{M}]+"
+
+
+def _class(*kinds: str) -> str:
+    """Ranges of a character class that hold the code points of some Unicode categories."""
+    codes = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in kinds]
+    cuts = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
+    return "".join(f"{chr(codes[a])}-{chr(codes[b - 1])}" for a, b in zip(cuts, cuts[1:]))
+
+
+# a word is a letter and the letters and combining marks after it, in training and in scoring alike
+_LETTER = rf"[^\W\d_{_class('No', 'Nl')}]"
+LETTERS = re.compile(f"{_LETTER}+(?:[{_class('Mn', 'Mc', 'Me')}]+{_LETTER}*)*")
+JAVA_LETTERS = r"\p{L}[\p{L}\p{M}]*"
 
 
 def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by: str = "doc_id") -> DataFrame:
@@ -53,8 +66,7 @@ def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         F.pmod("draw", F.lit(1 << 31)) < share * (1 << 31)
     )
     words = (
-        sample.select("lang", F.explode(F.split(F.lower("text"), JAVA_LETTERS)).alias("piece"))
-        .filter("piece <> ''")
+        sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(JAVA_LETTERS), F.lit(0))).alias("piece"))
         .groupBy("lang", "piece")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -240,7 +252,8 @@ def language_id(
             yield found
 
     columns = ["lang_pred string", "score double", *["known double"] * known]
-    predicted = F.pandas_udf(mapped, ", ".join(columns))
+    # nondeterministic to the optimiser: a filter on the result must not run the scorer once more
+    predicted = F.pandas_udf(mapped, ", ".join(columns)).asNondeterministic()
     return docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), predicted(F.col(text_col)).alias("found")
     ).select("row", "found.*")
