@@ -32,16 +32,34 @@ KEPT_WORDS = 150_000  # scores of words that a task remembers at a time
 
 
 
-def _class(*kinds: str) -> str:
-    """Ranges of a character class that hold the code points of some Unicode categories."""
-    codes = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in kinds]
-    cuts = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
-    return "".join(f"{chr(codes[a])}-{chr(codes[b - 1])}" for a, b in zip(cuts, cuts[1:]))
+def _classes(*groups: tuple[str, ...]) -> list[str]:
+    """For each group of Unicode categories, the ranges of a character class that hold its code points."""
+    codes: dict[str, list[int]] = {k: [] for group in groups for k in group}
+    for c, kind in enumerate(map(unicodedata.category, map(chr, range(sys.maxunicode + 1)))):
+        if kind in codes:
+            codes[kind].append(c)
+    out = []
+    for group in groups:
+        own = sorted(c for kind in group for c in codes[kind])
+        cuts = [0, *(i for i in range(1, len(own)) if own[i] != own[i - 1] + 1), len(own)]
+        out.append("".join(f"{chr(own[a])}-{chr(own[b - 1])}" for a, b in zip(cuts, cuts[1:])))
+    return out
 
 
 # a word is a letter and the letters and combining marks after it, in training and in scoring alike
-_LETTER = rf"[^\W\d_{_class('No', 'Nl')}]"
-LETTERS = re.compile(f"{_LETTER}+(?:[{_class('Mn', 'Mc', 'Me')}]+{_LETTER}*)*")
+_NUMBERS, _MARKS = _classes(("No", "Nl"), ("Mn", "Mc", "Me"))
+_LETTER = rf"[^\W\d_{_NUMBERS}]"
+_MARKED = re.compile(f"{_LETTER}+(?:[{_MARKS}]+{_LETTER}*)*")
+_PLAIN = re.compile(r"[^\W\d_]+")  # the same in texts without marks and other numbers, and faster
+_ODD = frozenset(re.findall(f"[{_NUMBERS}{_MARKS}]", "".join(map(chr, range(sys.maxunicode + 1)))))
+
+
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, in lower case."""
+    text = (text or "").lower()
+    return (_PLAIN if text.isascii() or _ODD.isdisjoint(text) else _MARKED).findall(text)
+
+
 JAVA_LETTERS = r"\p{L}[\p{L}\p{M}]*"
 
 
@@ -153,7 +171,7 @@ class Scorer:
 
         It does not depend on the number of languages.
         """
-        words = LETTERS.findall((text or "").lower())
+        words = words_of(text)
         if not words or lang not in self.model.langs:
             return 0.0
         if len(self.shares) > KEPT_WORDS:
@@ -183,7 +201,7 @@ class Scorer:
     def __call__(self, text: str | None) -> tuple[str, float]:
         """Language and score of one text."""
         langs = self.model.langs
-        words = LETTERS.findall((text or "").lower())
+        words = words_of(text)
         if not words or not langs:
             return UNDETERMINED, 0.0
         if self.n > KEPT_WORDS:
