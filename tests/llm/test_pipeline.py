@@ -51,5 +51,5 @@ def test_run(spark):
 
 
 def test_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(ORACLES) <= set(QUERIES)

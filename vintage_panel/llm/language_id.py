@@ -4,32 +4,34 @@ A word that the model knows scores by its log frequency in each language.  An un
 falls back to its character 5-grams; a 5-gram that is unseen gives way to the 4-grams inside,
 and so on down to single characters.  A document takes the language with the largest sum.
 
-The counts are taken on a bounded sample of labelled rows (``SAMPLE`` per language, chosen by
-a hash), so the model has a bounded size, fits a broadcast and does not grow with the table.
+The counts are taken on a bounded sample of labelled rows (``SAMPLE`` distinct texts per
+language, chosen by a hash of the text).  Every label becomes a language.  A piece is known in a language
+if it makes up a fixed least share of the pieces of its length there, so no piece is ranked
+against others, no language takes another's place, and the model has at most ``ENTRIES``
+entries of twelve bytes.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import sys
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
-SAMPLE = 2_000  # labelled documents per language, about, that the counts are taken on
-LANGUAGES = 400  # no model has more languages; the most frequent labels count
-WORDS = 40_000  # known words and known n-grams of each length, the most frequent ones
+SAMPLE = 2_000  # labelled texts per language, about, that the counts are taken on
+ENTRIES = 12_000_000  # (piece, language) pairs of a model, at most
+PIECES = 100_000  # known words, and known n-grams of each length, per language, at most
 GRAMS = (5, 4, 3, 2, 1)
 MIN_COUNT = 2  # a word seen once says no more than its n-grams do
 SMOOTH = 0.5
 UNDETERMINED = "und"
-KEPT_WORDS = 150_000  # scores of words that a task remembers at a time
-
+KEPT_CELLS = 1_200_000  # scores of words by language that a task remembers at a time
+SEED = 42  # of Spark's xxhash64
 
 
 def _classes(*groups: tuple[str, ...]) -> list[str]:
@@ -63,25 +65,24 @@ def words_of(text: str | None) -> list[str]:
 JAVA_LETTERS = r"\p{L}[\p{L}\p{M}]*"
 
 
-def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by: str = "doc_id") -> DataFrame:
+def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, size, piece, n): size 0 for words, else the length of an n-gram.
 
-    Rows without a language or text teach nothing.  Words are lower-cased runs of letters;
-    n-grams are taken from the words with ``_`` at both ends, each word as often as it stands.
+    Rows without a language or text teach nothing, and equal texts of a language teach once.
+    Words are lower-cased runs of letters; n-grams are taken from the words with ``_`` at both
+    ends, each word as often as it stands.
     """
-    labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    known = (
-        labelled.groupBy(F.col(lang_col).alias("lang")).count()
-        .orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    )
-    drawn = labelled.select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-        F.xxhash64(F.col(by).cast("string"), text_col, F.lit("language sample")).alias("draw"),
+    labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("draw")
     )
-    # a share of each language's documents; nothing is gathered to be sorted
-    share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("count"))
-    sample = drawn.join(F.broadcast(known), "lang").filter(  # at most LANGUAGES rows
-        F.pmod("draw", F.lit(1 << 31)) < share * (1 << 31)
+    texts = labelled.groupBy("lang").agg(F.approx_count_distinct("draw").alias("texts"))
+    # a share of each language's texts; nothing is gathered to be sorted
+    share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("texts"))
+    sample = (
+        labelled.join(texts, "lang")
+        .filter(F.pmod("draw", F.lit(1 << 31)) < share * (1 << 31))
+        .select("lang", "text")
+        .distinct()
     )
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(JAVA_LETTERS), F.lit(0))).alias("piece"))
@@ -106,144 +107,229 @@ def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     return words.select("lang", F.lit(0).alias("size"), "piece", "n").union(parts)
 
 
-class Model:
-    """Log frequencies per language of the known words and n-grams.
+def _hashed(pieces: list[str]) -> np.ndarray:
+    """The hashes that Spark's ``xxhash64`` gives these pieces."""
+    found = (xxhash.xxh64_intdigest(p.encode("utf-8", "replace"), SEED) for p in pieces)
+    return np.fromiter(found, np.uint64, len(pieces))
+
+
+class Table:
+    """Known pieces of one length: sorted hashes, and the languages that each was seen in."""
+
+    def __init__(self, hashes: np.ndarray, langs: np.ndarray, counts: np.ndarray, n_langs: int) -> None:
+        order = np.lexsort((langs, hashes))
+        hashes, self.langs, counts = hashes[order], langs[order].astype(np.int32), counts[order].astype(np.float64)
+        new = np.ones(len(hashes), bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        self.hashes = hashes[new]
+        self.cuts = np.append(np.flatnonzero(new), len(hashes))
+        totals = np.bincount(self.langs, counts, n_langs)
+        scale = np.log(totals + SMOOTH * max(1, len(self.hashes)))
+        # the log frequency of a piece not seen in a language, and what a seen one adds to it
+        self.floor = np.log(SMOOTH) - scale
+        self.gain = (np.log(counts + SMOOTH) - np.log(SMOOTH)).astype(np.float32)
+
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """Row of each piece, -1 for the unknown."""
+        if not len(self.hashes) or not pieces:
+            return np.full(len(pieces), -1, np.int64)
+        hashes = _hashed(pieces)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def entries(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``places``, entry) of all entries of known pieces."""
+        sizes = self.cuts[places + 1] - self.cuts[places]
+        of = np.repeat(np.arange(len(places)), sizes)
+        first = np.repeat(self.cuts[places] - np.cumsum(sizes) + sizes, sizes)
+        return of, first + np.arange(len(of))
 
-    ``floors`` holds, per size and language, the log frequency of a piece not seen in it.
-    """
 
-    def __init__(
-        self, langs: list[str], tables: dict[int, dict[str, list[float]]], floors: dict[int, list[float]] | None = None
-    ) -> None:
+class Model:
+    """Languages, and a table of known pieces for words (0) and for n-grams of each length."""
+
+    def __init__(self, langs: list[str], tables: dict[int, Table]) -> None:
         self.langs = langs
         self.tables = tables
-        self.floors = floors or {}
-
-    def _seen(self, size: int, piece: str, lang: int) -> bool:
-        found = self.tables.get(size, {}).get(piece)
-        return found is not None and (size not in self.floors or found[lang] > self.floors[size][lang])
-
-    def known(self, word: str, lang: int) -> float:
-        """1 if the word was seen in the language, else the share of its 3-grams that were."""
-        if self._seen(0, word, lang):
-            return 1.0
-        framed = f"_{word}_"
-        starts = range(len(framed) - 2)
-        return sum(self._seen(3, framed[i : i + 3], lang) for i in starts) / len(starts)
-
-    def word(self, word: str) -> list[float] | None:
-        """Scores of a lower-cased word by language; None if nothing of it is known."""
-        found = self.tables[0].get(word)
-        if found is not None:
-            return found
-        framed = f"_{word}_"
-        size = min(GRAMS[0], len(framed))
-        starts = range(len(framed) - size + 1)
-        rows: list[list[float]] = []
-        while size:
-            known = self.tables.get(size, {})
-            scores = [known.get(framed[i : i + size]) for i in starts]
-            rows += [x for x in scores if x is not None]
+
+    @classmethod
+    def of_counts(cls, counts: dict[int, dict[str, dict[str, int]]]) -> Model:
+        """The model of size -> piece -> language -> count."""
+        langs = sorted({x for pieces in counts.values() for seen in pieces.values() for x in seen})
+        rows = [
+            (size, piece, langs.index(x), n)
+            for size, pieces in counts.items() for piece, seen in pieces.items() for x, n in seen.items()
+        ]
+        sizes = np.array([r[0] for r in rows], np.int64)
+        return cls.of_rows(
+            langs, sizes, _hashed([r[1] for r in rows]),
+            np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64),
+        )
+
+    @classmethod
+    def of_rows(
+        cls, langs: list[str], sizes: np.ndarray, hashes: np.ndarray, at: np.ndarray, counts: np.ndarray
+    ) -> Model:
+        tables = {}
+        for size in (0, *GRAMS):
+            mine = sizes == size
+            tables[size] = Table(hashes[mine], at[mine], counts[mine], len(langs))
+        return cls(langs, tables)
+
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(scores by word and language, whether anything of the word is known); words in lower case."""
+        n_langs = len(self.langs)
+        out = np.zeros(len(words) * n_langs)
+        seen = np.zeros(len(words), np.int64)
+
+        def add(size: int, of: np.ndarray, pieces: list[str]) -> np.ndarray:
+            table = self.tables[size]
+            places = table.places(pieces)
+            hit = places >= 0
+            hits = of[hit]
+            times = np.bincount(hits, minlength=len(words))
+            nonlocal out, seen
+            seen += times
+            out += np.outer(times, table.floor).ravel()
+            at, entry = table.entries(places[hit])
+            out += np.bincount(hits[at] * n_langs + table.langs[entry], table.gain[entry], len(out))
+            return ~hit
+
+        rest = np.flatnonzero(add(0, np.arange(len(words)), words)).tolist()
+        framed = {i: f"_{words[i]}_" for i in rest}
+        starts = {}
+        for i, text in framed.items():
+            size = min(GRAMS[0], len(text))
+            starts.setdefault(size, {})[i] = range(len(text) - size + 1)
+        for size in GRAMS:
+            asked = [(i, k) for i, places in starts.get(size, {}).items() for k in places]
+            if not asked:
+                continue
+            of = np.array([i for i, _ in asked], np.int64)
+            unseen = add(size, of, [framed[i][k : k + size] for i, k in asked])
             # an unseen n-gram gives way to the two inside it
-            unseen = [i for i, x in zip(starts, scores, strict=True) if x is None]
-            if not unseen or size == 1:
-                break
-            starts = sorted({*unseen, *(i + 1 for i in unseen)})
-            size -= 1
-        return [sum(column) / len(rows) for column in zip(*rows, strict=True)] if rows else None
+            below = starts.setdefault(size - 1, {})
+            inside: dict[int, set[int]] = {}
+            for j in np.flatnonzero(unseen).tolist():
+                i, k = asked[j]
+                inside.setdefault(i, set()).update((k, k + 1))
+            below.update({i: sorted(ks) for i, ks in inside.items()})
+        return out.reshape(len(words), n_langs) / np.maximum(seen, 1)[:, None], seen > 0
+
+    def shares(self, words: list[str]) -> np.ndarray:
+        """By word and language: 1 if the word was seen in it, else the share of its 3-grams that were."""
+        n_langs = len(self.langs)
+        of, grams = [], []
+        for i, word in enumerate(words):
+            framed = f"_{word}_"
+            of += [i] * (len(framed) - 2)
+            grams += [framed[k : k + 3] for k in range(len(framed) - 2)]
+        of_gram = np.array(of, np.int64)
+        places = self.tables[3].places(grams)
+        hits = of_gram[places >= 0]
+        at, entry = self.tables[3].entries(places[places >= 0])
+        out = np.bincount(hits[at] * n_langs + self.tables[3].langs[entry], minlength=len(words) * n_langs)
+        out = out.reshape(len(words), n_langs) / np.bincount(of_gram, minlength=len(words))[:, None]
+        places = self.tables[0].places(words)
+        hits = np.flatnonzero(places >= 0)
+        at, entry = self.tables[0].entries(places[hits])
+        out[hits[at], self.tables[0].langs[entry]] = 1.0
+        return out
 
 
 class Scorer:
     """Scores texts by a model; remembers the scores of words, a bounded number at a time."""
 
-    def __init__(self, model: Model) -> None:
+    def __init__(self, model: Model, known: bool = False) -> None:
         self.model = model
+        self.with_known = known
+        self.room = max(256, KEPT_CELLS // max(1, len(model.langs)))
         self._forget()
 
     def _forget(self) -> None:
-        self.rows = np.zeros((1024, max(1, len(self.model.langs))))  # row 0: nothing known
+        width = len(self.model.langs)
         self.places: dict[str, int] = {}
-        self.n = 1
-        self.shares: dict[tuple[str, int], float] = {}
-
-    def known(self, text: str | None, lang: str) -> float:
-        """How far a text consists of what was seen in a language: the mean of its words, 0 to 1.
+        self.rows = np.zeros((0, width), np.float32)
+        self.any = np.zeros(0, bool)
+        self.shares = np.zeros((0, width), np.float32)
+        self.n = 0
 
-        It does not depend on the number of languages.
-        """
-        words = words_of(text)
-        if not words or lang not in self.model.langs:
-            return 0.0
-        if len(self.shares) > KEPT_WORDS:
-            self.shares = {}
-        at, total = self.model.langs.index(lang), 0.0
-        for word in words:
-            share = self.shares.get((word, at))
-            if share is None:
-                share = self.shares[word, at] = self.model.known(word, at)
-            total += share
-        return total / len(words)
-
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
+        scores, seen = self.model.scores(words)
         if self.n + len(words) > len(self.rows):
-            grown = np.zeros((max(2 * len(self.rows), self.n + len(words)), self.rows.shape[1]))
-            grown[: self.n] = self.rows[: self.n]
-            self.rows = grown
-        for word in words:
-            scores = self.model.word(word)
-            if scores is None:
-                self.places[word] = 0
-            else:
-                self.places[word] = self.n
-                self.rows[self.n] = scores
-                self.n += 1
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        """Language and score of one text."""
+            size = max(1024, 2 * len(self.rows), self.n + len(words))
+            for name in ("rows", "any", "shares")[: 2 + self.with_known]:
+                old = getattr(self, name)
+                grown = np.zeros((size, *old.shape[1:]), old.dtype)
+                grown[: self.n] = old[: self.n]
+                setattr(self, name, grown)
+        new = slice(self.n, self.n + len(words))
+        self.rows[new], self.any[new] = scores, seen
+        if self.with_known:
+            self.shares[new] = self.model.shares(words)
+        self.places.update(zip(words, range(new.start, new.stop), strict=True))
+        self.n = new.stop
+
+    def __call__(self, text: str | None) -> tuple[str, float, float]:
+        """Language and score of one text, and how far it consists of what was seen in that language.
+
+        The last is the mean of its words, 0 to 1; it does not depend on the number of languages
+        and is 0 unless the scorer was made for it.
+        """
         langs = self.model.langs
         words = words_of(text)
         if not words or not langs:
-            return UNDETERMINED, 0.0
-        if self.n > KEPT_WORDS:
-            self._forget()
-        unseen = set(words).difference(self.places)
-        if unseen:
-            self._learn(unseen)
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        total, n = self.rows[at].sum(axis=0), np.count_nonzero(at)
+            return UNDETERMINED, 0.0, 0.0
+        total, known, n = np.zeros(len(langs)), np.zeros(len(langs)), 0
+        for start in range(0, len(words), self.room):  # a long text's words need not be held at once
+            part = words[start : start + self.room]
+            if self.n > self.room:
+                self._forget()
+            unseen = sorted(set(part).difference(self.places))
+            if unseen:
+                self._learn(unseen)
+            # each word once with its number, so nothing of a text's length times the languages is made
+            at, times = np.unique(
+                np.fromiter(map(self.places.__getitem__, part), np.int64, len(part)), return_counts=True
+            )
+            total += times @ self.rows[at].astype(np.float64)
+            n += int(times[self.any[at]].sum())
+            if self.with_known:
+                known += times @ self.shares[at].astype(np.float64)
         best = int(total.argmax())  # the first of ties
         # the mean per word, so that the score does not run to 1 with the length of the text
-        return langs[best], float(1 / np.exp((total - total[best]) / max(n, 1)).sum())
+        score = float(1 / np.exp((total - total[best]) / max(n, 1)).sum())
+        return langs[best], score, min(1.0, float(known[best]) / len(words))
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", by: str = "doc_id") -> Model:
-    """The model of ``docs``; it fetches at most ``WORDS`` pieces of each size."""
-    counts = train_counts(docs, text_col, lang_col, by)
-    pieces = counts.groupBy("size", "piece").agg(
-        F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by_lang")
-    )
-    place = F.row_number().over(Window.partitionBy("size").orderBy(F.desc("all"), "piece"))
-    top = (
-        pieces.filter(F.col("all") >= MIN_COUNT)
-        .withColumn("place", place)
-        .filter(F.col("place") <= WORDS)
-        .select("size", "piece", "by_lang")
-        .collect()
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """The model of ``docs``; it fetches at most ``ENTRIES`` counts, a hash and two numbers each.
+
+    Pieces are told apart by 64-bit hashes.  With many languages each gets an equal part of the
+    entries: a piece counts where it makes up at least one part in so many.
+    """
+    counts = train_counts(docs, text_col, lang_col).filter(F.col("n") >= MIN_COUNT)
+    counts = counts.select("lang", F.col("size").cast("int"), F.xxhash64("piece").alias("piece"), "n")
+    totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"))
+    langs = totals.select("lang").distinct()
+    n_langs = langs.agg(F.count(F.lit(1)).alias("langs"))  # one row
+    room = F.least(F.lit(PIECES), (F.lit(ENTRIES) / (F.col("langs") * (1 + len(GRAMS)))).cast("int"))
+    least = totals.join(F.broadcast(n_langs)).select("lang", "size", (F.col("total") / room).alias("least"))
+    top = counts.join(least, ["lang", "size"]).filter(F.col("n") >= F.col("least"))
+    found = top.select("lang", "size", "piece", "n").toArrow()
+    names = found["lang"].combine_chunks().dictionary_encode()
+    order = np.argsort(np.array(names.dictionary.to_pylist(), object)) if len(names.dictionary) else np.zeros(0, int)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    by_place = sorted(names.dictionary.to_pylist())
+    at = rank[names.indices.to_numpy(zero_copy_only=False).astype(np.int64)]
+    return Model.of_rows(
+        by_place,
+        found["size"].to_numpy().astype(np.int64),
+        found["piece"].to_numpy().astype(np.int64).view(np.uint64),
+        at,
+        found["n"].to_numpy().astype(np.int64),
     )
-    totals: Counter = Counter()
-    for row in top:
-        for lang, n in row["by_lang"]:
-            totals[row["size"], lang] += n
-    langs = sorted({lang for _, lang in totals})
-    sizes = Counter(row["size"] for row in top)
-    tables: dict[int, dict[str, list[float]]] = {0: {}} | {s: {} for s in GRAMS}
-    for row in top:
-        seen, size = dict(row["by_lang"]), row["size"]
-        tables[size][row["piece"]] = [
-            math.log((seen.get(x, 0) + SMOOTH) / (totals[size, x] + SMOOTH * sizes[size])) for x in langs
-        ]
-    floors = {s: [math.log(SMOOTH / (totals[s, x] + SMOOTH * n)) for x in langs] for s, n in sizes.items()}
-    return Model(langs, tables, floors)
 
 
 def language_id(
@@ -262,12 +348,11 @@ def language_id(
     shared = spark.sparkContext.broadcast(model)
 
     def mapped(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        score = Scorer(shared.value)
+        score = Scorer(shared.value, known)
+        names = ["lang_pred", "score", *["known"] * known]
         for batch in texts:
-            found = pd.DataFrame([score(t) for t in batch], columns=["lang_pred", "score"])
-            if known:
-                found["known"] = [score.known(t, x) for t, x in zip(batch, found["lang_pred"], strict=True)]
-            yield found
+            found = pd.DataFrame([score(t) for t in batch], columns=["lang_pred", "score", "known"])
+            yield found[names]
 
     columns = ["lang_pred string", "score double", *["known double"] * known]
     # nondeterministic to the optimiser: a filter on the result must not run the scorer once more
