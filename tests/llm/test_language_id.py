@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vintage_panel.llm import language_id as module
-from vintage_panel.llm.language_id import GRAMS, Model, Scorer, fit, language_id, words_of
+from vintage_panel.llm.language_id import GRAMS, Model, Scorer, fit, language_id, train_counts, words_of
 from vintage_panel.llm.queries import op9_language_id
 
 ROOT = Path("/root/testdata/sf0.01")
@@ -107,9 +107,12 @@ def test_equals_brute_force(spark, table, edge_rows):
 def test_long_texts_are_scored_in_parts(monkeypatch):
     model = Model.of_counts({0: {"a": {"x": 9}, "b": {"y": 9}}, 3: {"_c_": {"x": 2, "y": 3}}})
     text = "a b b c d " * 700
-    whole = Scorer(model, True)(text)
+    texts = [text, "a", None, "b c", text]
+    whole = list(Scorer(model, True)(texts))
     monkeypatch.setattr(module, "KEPT_CELLS", 0)
-    assert Scorer(model, True)(text) == pytest.approx(whole)
+    monkeypatch.setattr(module, "TOGETHER", 2)
+    for a, b in zip(Scorer(model, True)(texts), whole, strict=True):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:])
 
 
 def test_500_languages(spark):
@@ -147,7 +150,7 @@ def test_edges(table, edge_rows, empty):
         else:
             assert lang in ("en", "fr") and 0 < score <= 1
     untaught = fit(empty)
-    assert Scorer(untaught)("some words") == ("und", 0.0, 0.0)
+    assert list(Scorer(untaught)(["some words"])) == [("und", 0.0, 0.0)]
     assert language_id(empty, untaught).collect() == []
 
 
@@ -177,6 +180,12 @@ def test_scripts_with_combining_marks(spark):
     assert {r["lang_pred"] for r in language_id(odd, model).collect()} == {"und"}
 
 
+def test_texts_are_not_dealt_by_language(spark):
+    docs = spark.createDataFrame([(f"the land {i}", "en") for i in range(9)], "text string, lang string")
+    plan = train_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_a_filter_does_not_score_twice(spark):
     docs = spark.createDataFrame([(1, "the land", "en")], "doc_id long, text string, lang string")
     kept = language_id(docs, fit(docs), known=True).filter("lang_pred <> 'und' and known >= 0.5").select("row.text", "lang_pred")

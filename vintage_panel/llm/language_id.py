@@ -16,21 +16,25 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import stored
+
 SAMPLE = 2_000  # labelled texts per language, about, that the counts are taken on
 ENTRIES = 12_000_000  # (piece, language) pairs of a model, at most
 PIECES = 100_000  # known words, and known n-grams of each length, per language, at most
 GRAMS = (5, 4, 3, 2, 1)
 MIN_COUNT = 2  # a word seen once says no more than its n-grams do
 SMOOTH = 0.5
+BROADCAST_ROWS = 100_000  # languages with a share of their own that go to every task
 UNDETERMINED = "und"
 KEPT_CELLS = 1_200_000  # scores of words by language that a task remembers at a time
+TOGETHER = 50_000  # words of neighbouring texts whose new ones are learned at once
 SEED = 42  # of Spark's xxhash64
 
 
@@ -76,11 +80,18 @@ def train_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("draw")
     )
     texts = labelled.groupBy("lang").agg(F.approx_count_distinct("draw").alias("texts"))
-    # a share of each language's texts; nothing is gathered to be sorted
-    share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("texts"))
+    # a share of the texts of each language that has more; nothing is gathered to be sorted
+    shares = stored(
+        texts.filter(F.col("texts") > SAMPLE).select(
+            F.xxhash64("lang").alias("lang_key"), (F.lit(float(SAMPLE)) / F.col("texts")).alias("share")
+        )
+    )
+    if shares.count() <= BROADCAST_ROWS:  # two numbers a row; more languages than that meet in a shuffle
+        shares = F.broadcast(shares)
     sample = (
-        labelled.join(texts, "lang")
-        .filter(F.pmod("draw", F.lit(1 << 31)) < share * (1 << 31))
+        labelled.withColumn("lang_key", F.xxhash64("lang"))
+        .join(shares, "lang_key", "left")
+        .filter(F.pmod("draw", F.lit(1 << 31)) < F.coalesce("share", F.lit(1.0)) * (1 << 31))
         .select("lang", "text")
         .distinct()
     )
@@ -270,32 +281,50 @@ class Scorer:
         self.places.update(zip(words, range(new.start, new.stop), strict=True))
         self.n = new.stop
 
-    def __call__(self, text: str | None) -> tuple[str, float, float]:
-        """Language and score of one text, and how far it consists of what was seen in that language.
+    def __call__(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float, float]]:
+        """For each text its language, its score, and how far it consists of what was seen in that language.
 
         The last is the mean of its words, 0 to 1; it does not depend on the number of languages
         and is 0 unless the scorer was made for it.
         """
+        held: list[list[str]] = []
+        n = 0
+        for text in texts:
+            held.append(words_of(text))
+            n += len(held[-1])
+            if n >= TOGETHER:
+                yield from self._together(held)
+                held, n = [], 0
+        yield from self._together(held)
+
+    def _together(self, texts: list[list[str]]) -> Iterator[tuple[str, float, float]]:
+        """Results of some texts, whose new words are learned at once."""
+        if self.model.langs:
+            if self.n > self.room:
+                self._forget()
+            unseen = set().union(*texts).difference(self.places)
+            if unseen and len(unseen) <= self.room:
+                self._learn(sorted(unseen))
+        return map(self._one, texts)
+
+    def _one(self, words: list[str]) -> tuple[str, float, float]:
         langs = self.model.langs
-        words = words_of(text)
         if not words or not langs:
             return UNDETERMINED, 0.0, 0.0
         total, known, n = np.zeros(len(langs)), np.zeros(len(langs)), 0
         for start in range(0, len(words), self.room):  # a long text's words need not be held at once
             part = words[start : start + self.room]
-            if self.n > self.room:
-                self._forget()
-            unseen = sorted(set(part).difference(self.places))
+            unseen = set(part).difference(self.places)
             if unseen:
-                self._learn(unseen)
-            # each word once with its number, so nothing of a text's length times the languages is made
-            at, times = np.unique(
-                np.fromiter(map(self.places.__getitem__, part), np.int64, len(part)), return_counts=True
-            )
-            total += times @ self.rows[at].astype(np.float64)
-            n += int(times[self.any[at]].sum())
+                if self.n > self.room:
+                    self._forget()
+                    unseen = set(part)
+                self._learn(sorted(unseen))
+            at = np.fromiter(map(self.places.__getitem__, part), np.int64, len(part))
+            total += self.rows[at].sum(axis=0, dtype=np.float64)
+            n += int(np.count_nonzero(self.any[at]))
             if self.with_known:
-                known += times @ self.shares[at].astype(np.float64)
+                known += self.shares[at].sum(axis=0, dtype=np.float64)
         best = int(total.argmax())  # the first of ties
         # the mean per word, so that the score does not run to 1 with the length of the text
         score = float(1 / np.exp((total - total[best]) / max(n, 1)).sum())
@@ -309,13 +338,11 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     entries: a piece counts where it makes up at least one part in so many.
     """
     counts = train_counts(docs, text_col, lang_col).filter(F.col("n") >= MIN_COUNT)
-    counts = counts.select("lang", F.col("size").cast("int"), F.xxhash64("piece").alias("piece"), "n")
-    totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"))
-    langs = totals.select("lang").distinct()
-    n_langs = langs.agg(F.count(F.lit(1)).alias("langs"))  # one row
-    room = F.least(F.lit(PIECES), (F.lit(ENTRIES) / (F.col("langs") * (1 + len(GRAMS)))).cast("int"))
-    least = totals.join(F.broadcast(n_langs)).select("lang", "size", (F.col("total") / room).alias("least"))
-    top = counts.join(least, ["lang", "size"]).filter(F.col("n") >= F.col("least"))
+    counts = stored(counts.select("lang", F.col("size").cast("int"), F.xxhash64("piece").alias("piece"), "n"))
+    n_langs = counts.agg(F.countDistinct("lang")).first()[0]
+    room = max(1, min(PIECES, ENTRIES // (max(1, n_langs) * (1 + len(GRAMS)))))
+    totals = counts.groupBy("lang", "size").agg((F.sum("n") / room).alias("least"))
+    top = counts.join(totals, ["lang", "size"]).filter(F.col("n") >= F.col("least"))
     found = top.select("lang", "size", "piece", "n").toArrow()
     names = found["lang"].combine_chunks().dictionary_encode()
     order = np.argsort(np.array(names.dictionary.to_pylist(), object)) if len(names.dictionary) else np.zeros(0, int)
@@ -351,7 +378,7 @@ def language_id(
         score = Scorer(shared.value, known)
         names = ["lang_pred", "score", *["known"] * known]
         for batch in texts:
-            found = pd.DataFrame([score(t) for t in batch], columns=["lang_pred", "score", "known"])
+            found = pd.DataFrame(list(score(batch)), columns=["lang_pred", "score", "known"])
             yield found[names]
 
     columns = ["lang_pred string", "score double", *["known double"] * known]
