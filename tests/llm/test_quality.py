@@ -50,5 +50,26 @@ def test_thresholds_follow_language_and_source(spark):
     assert got["en"] < 100 < 400 < got["code"]
 
 
+def test_a_small_group_does_not_set_its_own_limit(table):
+    clean = [(i, " ".join(f"w{i * 31 + k}" for k in range(40)), "en", "s") for i in range(60)]
+    junk = lambda i: " ".join(f"w{i}{k}###" for k in range(40))
+    alone = [(1000 + i, junk(i), "en", f"alone{i}") for i in range(3)]  # a source each
+    tongue = [(1100 + i, junk(i), f"lang{i}", "s") for i in range(3)]  # a language each
+    together = [(1200 + i, junk(i), None, None) for i in range(3)]  # three in one group
+    good = [(1300 + i, " ".join(f"v{i}{k}" for k in range(40)), f"tongue{i}", "t") for i in range(3)]
+    got = {r["doc_id"]: r for r in quality(table(clean + alone + tongue + together + good)).collect()}
+    assert all(got[r[0]]["kept"] for r in clean + good)
+    assert {got[r[0]]["rule"] for r in alone + tongue + together} == {"symbols"}
+    few = quality(table(alone)).collect()  # no other rows to lean on
+    assert [r["rule"] for r in few] == ["symbols"] * 3
+
+
+def test_a_large_group_keeps_its_own_limit(spark):
+    rows = [("en", "prose", "symbols", v, 100) for v in range(20)] + [("en", "code", "symbols", v, 4) for v in range(200, 300)]
+    got = {r["source"]: r["edge_symbols"] for r in thresholds(
+        spark.createDataFrame(rows, "lang string, source string, metric string, value long, n long")).collect()}
+    assert got["prose"] <= 80 and got["code"] > 400
+
+
 def test_empty(empty):
     assert quality(empty).collect() == []

@@ -63,6 +63,10 @@ select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
 from norm window g as (partition by t)
 """
 
+OWN_EDGE = (
+    "quantile_disc(v, 0.75) + greatest(3 * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(slack))"
+)
+
 QUALITY = rf"""
 with base as (
   select doc_id, lang, source, coalesce(text, '') as t, {WORDS} as w,
@@ -86,19 +90,26 @@ stats as (
   from base b left join covered c using (doc_id)),
 grid as (
   select doc_id, lang, source, n_words > 0 as used, unnest(['symbols', 'dup_lines', 'repeats', 'capitals', 'word_length']) as metric,
-    unnest([60, 300, 150, 300, 4000]) as slack,
+    unnest([60, 300, 150, 300, 4000]) as slack, unnest([100, 300, 300, 400, 12000]) as prior,
     unnest([
       case when word_chars > 0 then n_symbols * 1000 // word_chars else 0 end,
       case when n_lines > 0 then n_dup_lines * 1000 // n_lines else 0 end,
       case when n_words > 0 then n_repeat_words * 1000 // n_words else 0 end,
       case when word_chars > 0 then n_capitals * 1000 // word_chars else 0 end,
-      case when n_words > 0 then word_chars * 1000 // n_words else 0 end]) as v,
+      case when n_words > 0 then least(word_chars * 1000 // n_words, 1000000) else 0 end]) as v,
     unnest([1, 2, 3, 4, 5]) as place
   from stats),
+of_all as (
+  select metric, least(own, (own * n + prior * 20) // (n + 20)) as edge
+  from (select metric, {OWN_EDGE} as own, count(*) as n, any_value(prior) as prior from grid where used group by metric)),
+of_lang as (
+  select lang, o.metric, least(own, (own * n + a.edge * 20) // (n + 20)) as edge
+  from (select lang, metric, {OWN_EDGE} as own, count(*) as n from grid where used group by lang, metric) o
+  join of_all a on o.metric = a.metric),
 edges as (
-  select lang, source, metric,
-    quantile_disc(v, 0.75) + greatest(3 * (quantile_disc(v, 0.75) - quantile_disc(v, 0.25)), any_value(slack)) as edge
-  from grid where used group by all),
+  select o.lang, source, o.metric, least(own, (own * n + a.edge * 20) // (n + 20)) as edge
+  from (select lang, source, metric, {OWN_EDGE} as own, count(*) as n from grid where used group by lang, source, metric) o
+  join of_lang a on o.lang is not distinct from a.lang and o.metric = a.metric),
 broken as (
   select g.doc_id, arg_min(g.metric, g.place) as metric
   from grid g join edges e on g.lang is not distinct from e.lang and g.source is not distinct from e.source

@@ -3,7 +3,9 @@
 Word, line and symbol statistics are computed per document.  Per language and source a
 mergeable quantile sketch of each statistic is kept: counts on a fixed grid of whole
 thousandths, so partial sketches merge by adding and any order of merging gives the same
-quantiles.  The thresholds read from the sketches replace fixed cutoffs and are joined back.
+quantiles.  Sketches of a language's sources merge into the language's, and those into one of
+all rows.  The thresholds read from the sketches replace fixed cutoffs and are joined back; a
+group of few rows leans on the group above it, so that it cannot set its own limit.
 """
 
 from __future__ import annotations
@@ -18,6 +20,11 @@ WINDOW = 8
 # and by no less than the slack, both on the grid of thousandths
 REACH = 3
 SLACK = {"symbols": 60, "dup_lines": 300, "repeats": 150, "capitals": 300, "word_length": 4000}
+# the edge of a group of n rows is lowered toward that of the group above it, which counts as
+# so many rows; above the group of all rows stand these
+WEIGHT = 20
+PRIOR = {"symbols": 100, "dup_lines": 300, "repeats": 300, "capitals": 400, "word_length": 12000}
+LONGEST = 1_000_000  # longer mean word lengths, in thousandths, share the last place of the grid
 
 
 def _repeat_words(n: str = "n", w: str = "w") -> str:
@@ -82,7 +89,7 @@ def _grid() -> dict[str, Column]:
         "dup_lines": part("n_dup_lines", "n_lines"),
         "repeats": part("n_repeat_words", "n_words"),
         "capitals": part("n_capitals", "word_chars"),
-        "word_length": part("word_chars", "n_words"),
+        "word_length": F.least(part("word_chars", "n_words"), F.lit(LONGEST).cast("long")),
     }
 
 
@@ -100,18 +107,41 @@ def sketches(stats: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(sketch: DataFrame) -> DataFrame:
-    """Per lang and source: one upper threshold per metric (column limits, a map)."""
-    group = Window.partitionBy("lang", "source", "metric")
+def _values(of: dict[str, int]) -> Column:
+    """A number per metric."""
+    return F.create_map(*[F.lit(x) for kv in of.items() for x in kv])[F.col("metric")].cast("long")
+
+
+def _own_edges(sketch: DataFrame, *by: str) -> DataFrame:
+    """Per ``by`` and metric of merged sketches: own (edge by this group alone) and n (its rows)."""
+    merged = sketch.groupBy(*by, "metric", "value").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*by, "metric")  # at most as many rows as the grid has places
     ranked = (
-        sketch.withColumn("upto", F.sum("n").over(group.orderBy("value")))
+        merged.withColumn("upto", F.sum("n").over(group.orderBy("value")))
         .withColumn("total", F.sum("n").over(group))
         .withColumn("low", F.min(F.expr("if(upto * 4 >= total, value, null)")).over(group))
         .withColumn("high", F.min(F.expr("if(upto * 4 >= total * 3, value, null)")).over(group))
     )
-    slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])
-    reach = F.greatest((F.col("high") - F.col("low")) * REACH, slack[F.col("metric")].cast("long"))
-    edges = ranked.groupBy("lang", "source", "metric").agg(F.max(F.col("high") + reach).alias("edge"))
+    reach = F.greatest((F.col("high") - F.col("low")) * REACH, _values(SLACK))
+    return ranked.groupBy(*by, "metric").agg(F.max(F.col("high") + reach).alias("own"), F.max("total").alias("n"))
+
+
+def _lowered(above: Column) -> Column:
+    """The group's own edge, or the mean of it and the one above, weighted by rows, if that is lower."""
+    blend = F.call_function("div", F.col("own") * F.col("n") + above * WEIGHT, F.col("n") + WEIGHT)
+    return F.least(F.col("own"), blend)
+
+
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """Per lang and source: one upper threshold per metric (columns edge_...)."""
+    root = _own_edges(sketch).select("metric", _lowered(_values(PRIOR)).alias("root"))
+    of_lang = (
+        _own_edges(sketch, "lang").join(root, "metric").select(F.col("lang").alias("l"), "metric", _lowered(F.col("root")).alias("above"))
+    )
+    own = _own_edges(sketch, "lang", "source")
+    edges = own.join(of_lang, own["lang"].eqNullSafe(of_lang["l"]) & (own["metric"] == of_lang["metric"])).select(
+        "lang", "source", own["metric"], _lowered(F.col("above")).alias("edge")
+    )
     return edges.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("metric") == k, F.col("edge"))).alias(f"edge_{k}") for k in SLACK]
     )
@@ -122,12 +152,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     base_failed: fewer than 20 words, or more than 30 % of the words in repeated 8-word
     windows.  kept: not base_failed and no statistic above the threshold of its language and
-    source (NULL is a group of its own).  Rows without words fail the base rule.  Repeated
+    source (NULL is a group of its own), which few rows cannot raise above that of their language,
+    nor few rows of a language above that of all rows.  Rows without words fail the base rule.  Repeated
     rows get the same result each; an empty table gives no rows; other columns are not read.
     """
     stats = stored(statistics(docs, id_col, text_col))
     # stored too: one row per language and source, and Spark sees how small it is
-    limits = stored(thresholds(sketches(stats))).select(
+    limits = stored(thresholds(stored(sketches(stats)))).select(
         F.col("lang").alias("l"), F.col("source").alias("s"), *[f"edge_{k}" for k in SLACK]
     )
     joined = stats.join(
