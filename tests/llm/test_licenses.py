@@ -48,6 +48,27 @@ def test_bare_notices_are_found(docs, table):
     assert {t: got[5000 + i] for i, t in enumerate(NOTICES)} == NOTICES
 
 
+OTHERS = {  # not made from the templates
+    "This library is under the GNU Lesser General Public License v2.1": "LGPL",
+    "GNU Lesser General Public License": "LGPL",
+    "GNU Affero General Public License version 3": "AGPL",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 License.": "CC-BY-NC-ND",
+    "This program comes under the GNU General Public License, version 3.": "GPL",
+}
+
+
+def test_relatives_are_told_by_a_word(docs, table):
+    noted = table([(5500 + i, f"some prose {i}\n{t}\nmore", "en", "a") for i, t in enumerate(OTHERS)])
+    got = {r["doc_id"]: r["families"] for r in scan_licenses(noted, *fit_scan(docs)).collect()}
+    found = {t: got[5500 + i] for i, t in enumerate(OTHERS)}
+    # a notice that is not found permits nothing; one that is found must be right
+    assert {t: x for t, x in found.items() if x} == {t: OTHERS[t] for t, x in found.items() if x}
+    assert sum(map(bool, found.values())) >= 6
+
+
 def test_wrapped_templates_are_found(docs, table):
     cases = [(name, t) for name, ts in TEMPLATES.items() for t in ts if len(t) > 72]
     rows = [(6000 + i, "int main of prose\n" + "\n".join(f" * {x}" for x in textwrap.wrap(t, 72)) + f"\nsome code {i}", "en", "a")

@@ -69,3 +69,17 @@ TEMPLATES = {
         "This document is proprietary and confidential. Unauthorized copying or distribution is strictly prohibited.",
     ),
 }
+
+# fixed values: words that turn a notice of a family into one of a relative that permits less or else
+RELATIVES = {
+    "GPL": (("LGPL", ("lesser", "lgpl")), ("AGPL", ("affero", "agpl"))),
+    "CC-BY": (
+        ("CC-BY-SA", ("sharealike", "sa")),
+        ("CC-BY-ND", ("noderivatives", "noderivs", "nd")),
+        ("CC-BY-NC", ("noncommercial", "nc")),
+    ),
+    "CC-BY-NC": (
+        ("CC-BY-NC-SA", ("sharealike", "sa")),
+        ("CC-BY-NC-ND", ("noderivatives", "noderivs", "nd")),
+    ),
+}

@@ -10,6 +10,9 @@ counts when enough of a template's word triples stand in the paragraph; a templa
 A paragraph is a line.  Notices wrapped over several lines are looked for too: words of a
 document that stand close enough together and hold enough of a template are classified and
 confirmed like a paragraph, from the first word in common to the last.
+
+Some licences differ from a family by a word, such as Lesser or ShareAlike.  A confirmed notice that
+holds such a word is the relative's (``RELATIVES``), never the family's.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
-from .license_texts import TEMPLATES
+from .license_texts import RELATIVES, TEMPLATES
 
 UNKNOWN = 0.0
 FAMILIES = tuple(TEMPLATES)
@@ -155,6 +158,20 @@ def _held(words: Column, label: float | None = None) -> Column:
     return F.element_at(F.transform(F.array(mine), largest), 1)
 
 
+def _named(words: Column, label: Column) -> Column:
+    """The name of a confirmed family, or of the relative whose word stands in the notice."""
+    names = F.array(*[F.lit(n) for n in FAMILIES])
+    # "Share-Alike" is two words
+    told = F.concat(words, F.zip_with(words, F.slice(words, 2, 1 << 30), lambda a, b: F.concat(a, b)))
+    name = F.element_at(names, label.cast("int"))
+    for family, relatives in RELATIVES.items():
+        mine = F.element_at(names, label.cast("int")) == family
+        # a notice with the words of several is the first one's
+        for relative, marks in reversed(relatives):
+            name = F.when(mine & F.arrays_overlap(told, F.array(*[F.lit(m) for m in marks])), relative).otherwise(name)
+    return name
+
+
 def _lent(words: Column) -> Column:
     """Share of the paragraph's word triples that stand in any template."""
     lent = sorted({g for ts in TEMPLATES.values() for t in ts for size, gs in [_own_runs(t)] if size == 3 for g in gs})
@@ -214,7 +231,7 @@ def scan_licenses(
     Paragraphs are lines with a letter or digit; every one is classified, and so are runs of
     words over several lines that hold enough of a template.  n_licensed counts the lines that
     are confirmed or take part in a confirmed run.  ``families`` lists
-    the confirmed ones, sorted, joined by commas; it is empty and best_probability NULL where
+    the confirmed ones and their relatives, sorted, joined by commas; it is empty and best_probability NULL where
     there is none, as for NULL and empty texts.  Repeated rows get the same result each; an
     empty table gives no rows; other columns are not read.
     """
@@ -228,11 +245,10 @@ def scan_licenses(
     for i, _ in enumerate(FAMILIES):
         of_family = (F.col("prediction") == i + 1.0) & (F.col("p") >= least)
         confirmed = F.when(of_family, _held(F.col("words"), i + 1) >= SHARE).otherwise(confirmed)
-    names = F.array(*[F.lit(n) for n in FAMILIES])
     hits = scored.select(
         "row", "doc_id", "full", "first", "last", "words", "prediction", probability.alias("p")
     ).withColumn("hit", F.col("first").isNotNull() & confirmed)
-    named = F.when(F.col("hit"), F.element_at(names, F.col("prediction").cast("int")))
+    named = F.when(F.col("hit"), _named(F.col("words"), F.col("prediction")))
     licensed = F.collect_set(F.when(F.col("hit"), F.sequence("first", "last")))
     return (
         hits.groupBy("row", "doc_id")
