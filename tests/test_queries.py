@@ -70,3 +70,10 @@ def test_query_equals_sql(spark, duck, key):
     at = {d[0]: i for i, d in enumerate(cursor.description)}
     theirs = sorted(tuple(plain(r[at[c]]) for c in cols) for r in cursor.fetchall())
     assert mine == theirs
+
+
+@pytest.mark.parametrize("key", ["woe_transform", "iv_ranking", "iv_top_k", "high_cardinality_rule", "numeric_coercion_frame"])
+def test_jobs_on_the_model_table_read_it_from_its_stored_copy(spark, key):
+    # the view's joins would run again in each job
+    files = spark_queries()[key](spark, str(ROOT)).inputFiles()
+    assert files and all("/materialized-" in f for f in files)
