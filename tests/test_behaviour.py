@@ -3,6 +3,8 @@ from datetime import date
 import pytest
 
 from vintage_panel.operators import behaviour as beh
+from vintage_panel.operators.skew import NO_HOT_KEYS
+from vintage_panel.plans import builds
 
 HIST = (
     "acct_id string, load_date date, status string, reason string, month_end_ind int, "
@@ -125,3 +127,44 @@ def test_full_key_and_measure_sets(spark):
     )
     assert len(beh.panel_keys(full)) == 53
     assert len(beh.panel_measures()) == 37
+
+
+def test_keyed_panel_gives_the_same_aggregate(spark):
+    """Keys packed per report and application, among them rows without a report and without an application."""
+    spec = beh.EnrichSpec()
+    perf = spark.createDataFrame(
+        [(str(i), i if i < 6 else None, D, i, 100.0 + i, 500.0, 400.0, "ZC "[i % 3], i % 2, 0, 0, None, D, D, "WEB", 50 * i)
+         for i in range(8)],
+        "account_id string, app_id long, period date, mob int, balance double, credit_line double, acq_line double, "
+        "status string, dpd30 int, charge_off int, closure_flag int, closure_date date, entry_date date, book_month date, "
+        "channel string, score int",
+    )
+    apps = spark.createDataFrame(
+        [(i, f"R{i}", ["PRREVLR", "PRTRANS", None][i % 3], 10 * i, 20 * i, "T1" if i % 2 else None, 500 + 60 * i if i else None)
+         for i in range(5)],
+        "app_id long, report_id string, rv80 string, random02 int, random03 int, risk_tier string, vantage int",
+    )
+    names = [*spec.bureau_codes, *spec.patterns, *spec.balances, *spec.counts]
+    types = ["string"] * 18 + ["double"] * 5 + ["string"] * 14
+    rows = [
+        (f"R{i}", *["PRREVLR", None, "PRMIXED"], *["RRT", "TTX", "-2", None, "RT"] * 3, *[1500.0 * i, -3.0, None, 5.0, 2000.0],
+         *[f"{i * k:03d}" if k else None for k in range(14)])
+        for i in range(4)
+    ]
+    bureau = spark.createDataFrame(rows, "report_id string, " + ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True)))
+    txn = spark.createDataFrame(
+        [(7, D, "Sale", 1, 100.0, 0.0, 0.0, -2.0, 1.0, None)],
+        "account_no long, as_of date, ttype string, tcode int, net_sale double, sales_adj double, "
+        "interest_adj double, net_returns double, cash_regular double, cash_atm double",
+    )
+    inputs = perf, apps, bureau, hist(spark, *[{}] * 8), txn
+    hot = {"hot_accounts": NO_HOT_KEYS, "hot_apps": NO_HOT_KEYS}
+    plain = beh.behaviour_aggregate(builds.build_panel(*inputs, **hot))
+    keyed = beh.behaviour_aggregate(builds.build_panel(*inputs, **hot, keyed=True))
+    assert keyed.dtypes == plain.dtypes
+    got = sorted(keyed.collect(), key=str)
+    assert len(got) == 8 and got == sorted(plain.collect(), key=str)
+    # what a report and an application give is grouped by as their integers
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    groups = [x.split("]")[0] for x in plan.split("\n") if "Aggregate [__packed" in x]
+    assert len(groups) == 1 and all(n in groups[0] for n in ("__marks0", "__report0", "__application0"))
