@@ -165,3 +165,24 @@ def test_no_labels(spark, corpus):
     one = corpus.filter("toxic = 0")
     scored = tox.toxicity(one.limit(3), tox.fit(one, costs)).collect()
     assert all(r["predicted"] == 0 and r["score"] < 1e-9 for r in scored)
+
+
+def test_only_texts_of_the_sample_meet_their_labels(spark, monkeypatch):
+    """The sample of the plain join, ids and texts repeated and NULL, without moving a text."""
+    monkeypatch.setattr(tox, "SAMPLE", 20)
+    rows = [(i % 90 if i % 7 else None, f"text {i % 60}" if i % 11 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2 if i % 9 else None) for i in range(80)], "doc_id long, toxic int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        drawn = tox.drawn(docs, marks)
+        assert "Exchange hashpartitioning" not in drawn._jdf.queryExecution().executedPlan().toString()
+        got = Counter(tuple(r) for r in drawn.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    label = (F.col("toxic") == 1).cast("int").alias("label")
+    plain = docs.join(marks, "doc_id").filter("text is not null and toxic is not null").select("text", label)
+    chosen = tox._chosen(plain.withColumn("draw", tox._draw(F.col("text"))))
+    assert got == Counter(tuple(r) for r in chosen.select("text", "label").collect())
+    assert 0 < sum(got.values()) < plain.count()

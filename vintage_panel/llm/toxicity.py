@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
 from .deobfuscate import Restorer, language_model
@@ -28,6 +28,7 @@ MIN_LIFT = 2.0  # times as frequent among toxic documents as among the others
 PENALTY = 0.5  # documents' worth of evidence that a term must exceed; divided by the rows of the sample
 STEPS = 100
 STARTS = (3, 4, 5, 6)  # letters of a word's beginnings
+BROADCAST_ROWS = 200_000  # rows of the sample whose ids are broadcast
 KEPT_WORDS = 200_000  # weights of words that a task remembers at a time
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -69,14 +70,34 @@ class Scorer:
         return 1 / (1 + math.exp(-total)) if total > -700 else 0.0
 
 
-def _drawn(rows: DataFrame) -> DataFrame:
-    """About SAMPLE rows of each class, by a hash of the text; ``rows`` has text and label."""
+def _draw(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text, F.lit("toxicity sample")), F.lit(1 << 31))
+
+
+def _chosen(rows: DataFrame) -> DataFrame:
+    """Rows that belong to the sample, about SAMPLE of each class; ``rows`` has label and draw."""
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # two classes
     share = F.lit(0.0)
     for label, n in sizes.items():
         share = F.when(F.col("label") == label, min(1.0, SAMPLE / n)).otherwise(share)
-    draw = F.pmod(F.xxhash64("text", F.lit("toxicity sample")), F.lit(1 << 31))
-    return rows.filter(draw < share * (1 << 31))
+    return rows.filter(F.col("draw") < share * (1 << 31))
+
+
+def drawn(docs: DataFrame, marks: DataFrame, text_col: str = "text") -> DataFrame:
+    """(text, label) of about SAMPLE rows of each class, by a hash of the text.
+
+    ``docs`` has doc_id and a text, ``marks`` doc_id and a 0/1 label ``toxic``, once per id.  Labels meet ids and
+    hashes only; texts are looked up by the ids of the sample, so no other text is moved.
+    """
+    label = (F.col("toxic") == 1).cast("int").alias("label")
+    met = docs.filter(F.col(text_col).isNotNull()).select("doc_id", _draw(F.col(text_col)).alias("draw"))
+    rows = met.join(marks.select("doc_id", label).filter(F.col("label").isNotNull()), "doc_id")
+    picked = stored(_chosen(rows).distinct())
+    if picked.count() <= BROADCAST_ROWS:  # copies of one text are drawn together and may be many
+        picked = F.broadcast(picked)
+    texts = docs.select("doc_id", F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+    texts = texts.withColumn("draw", _draw(F.col("text")))
+    return texts.join(picked, ["doc_id", "draw"]).select("text", "label")
 
 
 def fit(labelled: DataFrame, costs: np.ndarray, text_col: str = "text", label_col: str = "toxic") -> Model:
@@ -85,9 +106,14 @@ def fit(labelled: DataFrame, costs: np.ndarray, text_col: str = "text", label_co
     Without two classes, or without a term tied to the label, every text gets the share of
     toxic rows (0 for none).
     """
-    spark = labelled.sparkSession
     rows = labelled.select(F.col(text_col).alias("text"), (F.col(label_col) == 1).cast("int").alias("label"))
-    sample = _drawn(rows.filter(F.col("text").isNotNull() & F.col("label").isNotNull()))
+    rows = rows.filter(F.col("text").isNotNull() & F.col("label").isNotNull())
+    return fit_sample(_chosen(rows.withColumn("draw", _draw(F.col("text")))), costs)
+
+
+def fit_sample(sample: DataFrame, costs: np.ndarray) -> Model:
+    """The model of the rows (text, label) of a bounded sample; see :func:`fit`."""
+    spark = sample.sparkSession
     shared = spark.sparkContext.broadcast(costs)  # 28 ** 4 numbers
 
     def seen(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -155,4 +181,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, held_out=None) -> DataFr
     costs = language_model(docs)
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     learned = docs.select("doc_id", "text") if held_out is None else docs.select("doc_id", "text").filter(~held_out)
-    return toxicity(docs, fit(learned.join(marks, "doc_id"), costs))
+    return toxicity(docs, fit_sample(drawn(learned, marks), costs))
