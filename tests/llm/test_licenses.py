@@ -3,7 +3,7 @@ import textwrap
 import pytest
 
 from vintage_panel.llm.license_texts import TEMPLATES
-from vintage_panel.llm.licenses import fit_scan, scan_licenses
+from vintage_panel.llm.licenses import _own_runs, _shared_runs, fit_scan, scan_licenses
 
 
 @pytest.fixture(scope="module")
@@ -80,3 +80,10 @@ def test_wrapped_templates_are_found(docs, table):
     assert [r["families"] for r in found] == [name for name, _ in cases]
     assert [r["n_paragraphs"] for r in found] == [2 + len(textwrap.wrap(t, 72)) for _, t in cases]
     assert all(0 < r["n_licensed"] <= r["n_paragraphs"] - 2 for r in found)
+
+
+def test_texts_are_made_only_of_words_that_begin_a_run():
+    sql = _shared_runs()
+    for runs in (_own_runs(t)[1] for ts in TEMPLATES.values() for t in ts):
+        assert all(f"'{run.split()[0]}'" in sql for run in runs)
+    assert sql.count("if(x in (") == 2

@@ -85,10 +85,12 @@ def _shared_runs() -> str:
     own = {size: sorted({g for ts in TEMPLATES.values() for t in ts for s, gs in [_own_runs(t)] if s == size for g in gs})
            for size in (2, 3)}
     among = {size: ", ".join(f"'{g}'" for g in gs) for size, gs in own.items()}
+    # most words begin none of them, and then no text is made
+    begin = {size: ", ".join(f"'{w}'" for w in sorted({g.split()[0] for g in gs})) for size, gs in own.items()}
 
     def starts(size: int) -> str:
         text = "concat_ws(' ', " + ", ".join(["x", *(f"get(flat, i + {k})" for k in range(1, size))]) + ")"
-        marked = f"transform(flat, (x, i) -> if({text} in ({among[size]}), named_struct('at', i, 'g', {text}), null))"
+        marked = f"transform(flat, (x, i) -> if(x in ({begin[size]}) and {text} in ({among[size]}), named_struct('at', i, 'g', {text}), null))"
         return f"filter({marked}, m -> m is not null)"
 
     none = "cast(array() as array<struct<at: int, g: string>>)"
